@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from .exact import content_sort
+from .minmax import near_groups
 from .mixing import mix
 from .packing import pack
 from .tokens import count_tokens
@@ -29,6 +29,10 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return content_sort(_table(spark, sf_dir, "documents"))
 
 
+def op8_minmax_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_groups(_table(spark, sf_dir, "documents"), width=3, percent=85)
+
+
 def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -37,4 +41,4 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"), ranks_path=_tokenizer("byte_bpe_50k.tiktoken"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op6_exact_dedup, op9_source_mix, op10_best_fit_packing)}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op6_exact_dedup, op8_minmax_near_dedup, op9_source_mix, op10_best_fit_packing)}
