@@ -9,6 +9,7 @@ from .minmax import near_groups
 from .mixing import mix
 from .packing import pack
 from .tokens import count_tokens
+from .vectors import near_vectors
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +26,10 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(_table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"))
 
 
+def op4_vector_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return content_sort(_table(spark, sf_dir, "documents"))
 
@@ -41,4 +46,4 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"), ranks_path=_tokenizer("byte_bpe_50k.tiktoken"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op6_exact_dedup, op8_minmax_near_dedup, op9_source_mix, op10_best_fit_packing)}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op4_vector_near_dedup, op6_exact_dedup, op8_minmax_near_dedup, op9_source_mix, op10_best_fit_packing)}
