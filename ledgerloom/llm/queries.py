@@ -8,6 +8,7 @@ from .exact import content_sort
 from .minmax import near_groups
 from .mixing import mix
 from .packing import pack
+from .ppm import lm_scores
 from .suffix import remove_repeats
 from .tokens import count_tokens
 from .vectors import near_vectors
@@ -35,6 +36,10 @@ def op4_vector_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(_table(spark, sf_dir, "embeddings"))
 
 
+def op5_ppm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(_table(spark, sf_dir, "documents"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return content_sort(_table(spark, sf_dir, "documents"))
 
@@ -51,4 +56,4 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"), ranks_path=_tokenizer("byte_bpe_50k.tiktoken"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_repeated_bytes, op4_vector_near_dedup, op6_exact_dedup, op8_minmax_near_dedup, op9_source_mix, op10_best_fit_packing)}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_repeated_bytes, op4_vector_near_dedup, op5_ppm_scores, op6_exact_dedup, op8_minmax_near_dedup, op9_source_mix, op10_best_fit_packing)}
