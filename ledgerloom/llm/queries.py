@@ -11,6 +11,7 @@ from .packing import pack
 from .ppm import lm_scores
 from .suffix import remove_repeats
 from .tokens import count_tokens
+from .toxicity import score, train
 from .vectors import near_vectors
 
 
@@ -32,6 +33,11 @@ def op2_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(_table(spark, sf_dir, "documents"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return score(docs, train(docs, _table(spark, sf_dir, "labels")))
+
+
 def op4_vector_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(_table(spark, sf_dir, "embeddings"))
 
@@ -56,4 +62,4 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"), ranks_path=_tokenizer("byte_bpe_50k.tiktoken"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_repeated_bytes, op4_vector_near_dedup, op5_ppm_scores, op6_exact_dedup, op8_minmax_near_dedup, op9_source_mix, op10_best_fit_packing)}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_repeated_bytes, op3_toxicity, op4_vector_near_dedup, op5_ppm_scores, op6_exact_dedup, op8_minmax_near_dedup, op9_source_mix, op10_best_fit_packing)}
