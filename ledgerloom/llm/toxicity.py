@@ -153,24 +153,23 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, id_col: st
     """The model from at most `rows` labelled documents, those with the smallest hashes of their ids; of equal texts one counts."""
     marked = labels.where(F.col(id_col).isNotNull() & F.col("toxic").isNotNull()).groupBy(F.col(id_col).alias("l_id")).agg(F.max("toxic").cast("int").alias("toxic"))
     chosen = marked.orderBy(F.xxhash64("l_id", F.lit(3)), "l_id").limit(rows)
-    found = docs.select(F.col(id_col).alias("l_id"), F.col(text_col).alias("text")).where("text IS NOT NULL").join(F.broadcast(chosen), "l_id")
+    found = docs.select(F.col(id_col).alias("l_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("mark")).where("text IS NOT NULL").join(F.broadcast(chosen), "l_id")
 
     def run(it):
         for batch in slices(it):
             texts = batch.column("text").to_pylist()
             h, doc, level = features(texts)
             at = pa.array(np.searchsorted(doc, np.arange(len(texts) + 1)).astype(np.int32))
-            yield pa.RecordBatch.from_arrays([batch.column("l_id"), batch.column("toxic"), pa.ListArray.from_arrays(at, pa.array(h.view(np.int64))), pa.ListArray.from_arrays(at, pa.array(level))], ["l_id", "toxic", "words", "levels"])
+            yield pa.RecordBatch.from_arrays([batch.column("l_id"), batch.column("mark"), batch.column("toxic"), pa.ListArray.from_arrays(at, pa.array(h.view(np.int64))), pa.ListArray.from_arrays(at, pa.array(level))], ["l_id", "mark", "toxic", "words", "levels"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    got = found.mapInArrow(run, f"l_id {kind}, toxic int, words array<long>, levels array<int>").toArrow().sort_by("l_id")
-    seen: set[bytes] = set()
+    got = found.mapInArrow(run, f"l_id {kind}, mark long, toxic int, words array<long>, levels array<int>").toArrow().sort_by([("l_id", "ascending"), ("mark", "ascending")])
+    seen: set[int] = set()
     sample = []
-    for words, levels, toxic in zip(*(got.column(c) for c in ("words", "levels", "toxic"))):
-        x = np.asarray(words.values).view(np.uint64)
-        if (key := x.tobytes()) not in seen:
-            seen.add(key)
-            sample.append((x, np.asarray(levels.values), int(toxic.as_py() > 0)))
+    for mark, toxic, words, levels in zip(got.column("mark").to_pylist(), got.column("toxic").to_pylist(), got.column("words"), got.column("levels")):
+        if mark not in seen:
+            seen.add(mark)
+            sample.append((np.asarray(words.values).view(np.uint64), np.asarray(levels.values), int(toxic > 0)))
     return learn(sample)
 
 
