@@ -8,6 +8,7 @@ from .exact import content_sort
 from .minmax import near_groups
 from .mixing import mix
 from .packing import pack
+from .pages import main_text
 from .ppm import lm_scores
 from .suffix import remove_repeats
 from .tokens import count_tokens
@@ -50,6 +51,10 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return content_sort(_table(spark, sf_dir, "documents"))
 
 
+def op7_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(_table(spark, sf_dir, "pages"))
+
+
 def op8_minmax_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(_table(spark, sf_dir, "documents"), width=3, percent=85)
 
@@ -62,4 +67,4 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"), ranks_path=_tokenizer("byte_bpe_50k.tiktoken"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_repeated_bytes, op3_toxicity, op4_vector_near_dedup, op5_ppm_scores, op6_exact_dedup, op8_minmax_near_dedup, op9_source_mix, op10_best_fit_packing)}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_repeated_bytes, op3_toxicity, op4_vector_near_dedup, op5_ppm_scores, op6_exact_dedup, op7_page_text, op8_minmax_near_dedup, op9_source_mix, op10_best_fit_packing)}
