@@ -11,8 +11,6 @@ from pyspark.sql import functions as F
 
 from .common import durable, mix64, slices, union_all
 
-#: Bytes of the grams of which a window's smallest hash is its key.
-GRAM = 16
 #: Bytes of segments that are sorted at once; those of one key that have more are compared by hashes of their windows.
 SORTED, WIDE = 4 << 20, 32 << 20
 
@@ -24,6 +22,14 @@ def _words(b: np.ndarray) -> np.ndarray:
     return np.ndarray((len(b) - 7,), dtype="<u8", buffer=b, strides=(1,))
 
 
+def gram(span: int) -> int:
+    """Bytes of the grams of which a window's smallest hash is its key: the power of two next below a third of the span.
+
+    Long grams seldom repeat but in repeated windows; short ones leave more windows to a gram.
+    """
+    return 1 << (span // 3).bit_length() - 1
+
+
 def _sliding(x: np.ndarray, width: int, pick) -> np.ndarray:
     """pick (minimum or maximum) over x[i : i + width], for each i that has them all."""
     size = 1
@@ -41,10 +47,13 @@ def window_keys(texts: list[bytes], span: int) -> tuple[np.ndarray, np.ndarray,
     """
     at = np.zeros(len(texts) + 1, dtype=np.int64)
     np.cumsum([len(t) for t in texts], out=at[1:])
-    b = np.frombuffer(b"".join([*texts, bytes(span + 32)]), dtype=np.uint8)
-    w = _words(b)
-    h = mix64(w[: len(w) - 8] * _A + mix64(w[8:] + _B))
-    key = _sliding(h, span - GRAM + 1, np.minimum)[: at[-1]]
+    b = np.frombuffer(b"".join([*texts, bytes(2 * span)]), dtype=np.uint8)
+    h, size, whole = _words(b) * _A, 8, gram(span)
+    while size < whole:
+        h = (h[:-size] ^ (h[:-size] >> np.uint64(29))) * _B + h[size:] * _A
+        size *= 2
+    h = mix64(h)
+    key = _sliding(h, span - whole + 1, np.minimum)[: at[-1]]
     ok = np.zeros(int(at[-1]), dtype=bool)
     for a, z in zip(at[:-1], at[1:]):
         ok[a : max(a, z - span + 1)] = True
@@ -71,7 +80,7 @@ def _anchors(span: int):
         for batch in slices(it, 4 << 20):
             rows, texts = batch.column("r1").to_numpy(), [(t or "").encode() for t in batch.column("text").to_pylist()]
             _, at, h, key, ok = window_keys(texts, span)
-            width = span - GRAM + 1
+            width = span - gram(span) + 1
             top = _sliding(np.concatenate([np.zeros(width - 1, dtype=np.uint64), np.where(ok, key, np.uint64(0))]), width, np.maximum)
             p = np.flatnonzero(h[: len(top)] == top)
             hs, doc = h[p], np.searchsorted(at, p, side="right") - 1
@@ -223,7 +232,7 @@ def _sorted(span: int):
         def flush(rows):
             out = []
             sort = {k for k, m in counts.items() if m > 1}
-            todo = [r for r in rows if r[0] in sort or len(r[2]) > span]
+            todo = [r for r in rows if r[0] in sort or r[3] == 1]  # one segment that occurs more often needs no sorting
             hits = repeated_windows([r[2] for r in todo], span) if todo else []
             found = {id(r): h for r, h in zip(todo, hits)}
             for r in rows:
@@ -309,10 +318,10 @@ def remove_repeats(docs: DataFrame, span: int = 200, id_col: str = "doc_id", tex
     segments is compared by digests of its strings, pre-aggregated, so no group has to fit a task.
 
     Null text is empty. Strings shorter than span are never removed. Rows that repeat id and text are separate texts,
-    repeating each other. Null ids are ids. No rows in, no rows out; other columns are ignored. span: 32 at least.
+    repeating each other. Null ids are ids. No rows in, no rows out; other columns are ignored. span: 24 at least.
     """
-    if span < 2 * GRAM:
-        raise ValueError(f"span must be {2 * GRAM} at least")
+    if span < 24:
+        raise ValueError("span must be 24 at least")
     text = F.coalesce(F.col(text_col), F.lit(""))
     base = docs.select(F.col(id_col).alias("id"), text.alias("text"), F.xxhash64(F.col(id_col), text).alias("r1"), F.xxhash64(F.lit(7), text, F.col(id_col)).alias("r2"))
     long = base.where(F.octet_length("text") >= span)
