@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import joined, mix64, slices, word_hashes
+from .common import durable, joined, mix64, slices, word_hashes
 from .ppm import Table
 
 #: Labelled documents to learn from at most, by a hash of their ids; all features and thresholds come from these.
@@ -111,66 +111,82 @@ def _fit(word: np.ndarray, doc: np.ndarray, n: int, grade: np.ndarray, m: int) -
     return p[:m], p[m] + np.concatenate([[0.0], np.cumsum(np.exp(p[m + 1 :]))])
 
 
-def learn(sample: list[tuple[np.ndarray, np.ndarray, int]]) -> Model:
-    """From (distinct features, their levels, toxic) of labelled documents.
+def _stats(it):
+    """(feature, level, documents, toxic documents) of each slice."""
+    for batch in slices(it, 2 << 20):
+        toxic = np.asarray(batch.column("toxic").to_pylist(), dtype=np.int64)
+        h, doc, level = features(batch.column("text").to_pylist())
+        for k in range(len(LEVELS)):
+            on = level > k
+            key, where = np.unique(h[on], return_inverse=True)
+            n, n1 = np.bincount(where, minlength=len(key)), np.bincount(where, weights=toxic[doc[on]], minlength=len(key))
+            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(np.full(len(key), k, dtype=np.int32)), pa.array(n.astype(np.int64)), pa.array(n1.astype(np.int64))], ["feature", "level", "c", "c1"])
 
-    A feature at a level counts where its log-odds for or against toxicity stand LEAST_Z standard errors from 0. Labels
-    only say toxic or not, so severity is graded by breadth: of toxic documents, by terciles of how many of the strongly
-    toxic features they show, 1 to GRADES; 0 is not toxic. Without both kinds of labels nothing is toxic.
-    """
-    toxic = np.array([y for _, _, y in sample], dtype=np.int64)
-    levels = len(LEVELS)
-    none = Model(np.zeros(0, np.uint64), np.zeros((0, levels)), np.full(GRADES, 40.0))
-    if not len(toxic) or toxic.min() == toxic.max():
-        return none
-    doc = np.repeat(np.arange(len(sample)), [len(x) for x, _, _ in sample])
-    every, word = np.unique(np.concatenate([x for x, _, _ in sample]), return_inverse=True)
-    level = np.concatenate([x for _, x, _ in sample])
-    at = [level > k for k in range(levels)]
-    word, doc = np.concatenate([word[a] * levels + k for k, a in enumerate(at)]), np.concatenate([doc[a] for a in at])
-    n1, n0 = toxic.sum(), len(toxic) - toxic.sum()
-    c = np.bincount(word, minlength=len(every) * levels)
-    c1 = np.bincount(word, weights=toxic[doc], minlength=len(c))
-    c0 = c - c1
-    odds = np.log((c1 + 0.5) / (n1 - c1 + 0.5)) - np.log((c0 + 0.5) / (n0 - c0 + 0.5))
-    z = odds / np.sqrt(1 / (c1 + 0.5) + 1 / (n1 - c1 + 0.5) + 1 / (c0 + 0.5) + 1 / (n0 - c0 + 0.5))
-    chosen = (c >= LEAST_DOCS) & (np.abs(z) >= LEAST_Z)
-    if not chosen.any():
-        return none
-    strong = chosen & (odds > 3) & (c1 >= 0.05 * n1)
-    breadth = np.bincount(doc, weights=strong[word].astype(float), minlength=len(sample))
-    cuts = np.quantile(breadth[toxic == 1], [1 / 3, 2 / 3])
-    grade = np.where(toxic == 1, 1 + (breadth[:, None] > cuts[None, :]).sum(axis=1), 0)
-    keep = chosen[word]
-    w, thresholds = _fit((np.cumsum(chosen) - 1)[word[keep]], doc[keep], len(sample), grade, int(chosen.sum()))
-    weights = np.zeros(len(chosen))
-    weights[chosen] = w
-    some = chosen.reshape(-1, levels).any(axis=1)
-    return Model(every[some], weights.reshape(-1, levels)[some].cumsum(axis=1), thresholds)
+
+def _shown(chosen: np.ndarray, place: np.ndarray):
+    """Each document's chosen (feature, level) pairs; place: (features x levels), -1 for pairs that weren't chosen."""
+
+    def run(it):
+        table = Table(chosen)
+        for batch in slices(it, 2 << 20):
+            h, doc, level = features(batch.column("text").to_pylist())
+            at = table.find(h)
+            h, doc, level, at = h[at >= 0], doc[at >= 0], level[at >= 0], at[at >= 0]
+            pairs, docs = [], []
+            for k in range(len(LEVELS)):
+                p = place[at, k]
+                on = (level > k) & (p >= 0)
+                pairs.append(p[on])
+                docs.append(doc[on])
+            pairs, docs = np.concatenate(pairs), np.concatenate(docs)
+            order = np.argsort(docs, kind="stable")
+            ends = np.searchsorted(docs[order], np.arange(batch.num_rows + 1)).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([batch.column("mark"), batch.column("toxic"), pa.ListArray.from_arrays(pa.array(ends), pa.array(pairs[order].astype(np.int32)))], ["mark", "toxic", "pairs"])
+
+    return run
 
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, id_col: str = "doc_id", text_col: str = "text") -> Model:
-    """The model from at most `rows` labelled documents, those with the smallest hashes of their ids; of equal texts one counts."""
+    """The model from at most `rows` labelled documents, those with the smallest hashes of their ids; of equal texts one counts.
+
+    A feature at a level counts where its log-odds for or against toxicity stand LEAST_Z standard errors from 0; those
+    statistics are aggregated by Spark, and only the features that count, and where they are shown, reach the driver.
+    Labels only say toxic or not, so severity is graded by breadth: of toxic documents, by terciles of how many of the
+    strongly toxic features they show, 1 to GRADES; 0 is not toxic. Without both kinds of labels nothing is toxic.
+    """
+    none = Model(np.zeros(0, np.uint64), np.zeros((0, len(LEVELS))), np.full(GRADES, 40.0))
     marked = labels.where(F.col(id_col).isNotNull() & F.col("toxic").isNotNull()).groupBy(F.col(id_col).alias("l_id")).agg(F.max("toxic").cast("int").alias("toxic"))
     chosen = marked.orderBy(F.xxhash64("l_id", F.lit(3)), "l_id").limit(rows)
     found = docs.select(F.col(id_col).alias("l_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("mark")).where("text IS NOT NULL").join(F.broadcast(chosen), "l_id")
-
-    def run(it):
-        for batch in slices(it):
-            texts = batch.column("text").to_pylist()
-            h, doc, level = features(texts)
-            at = pa.array(np.searchsorted(doc, np.arange(len(texts) + 1)).astype(np.int32))
-            yield pa.RecordBatch.from_arrays([batch.column("l_id"), batch.column("mark"), batch.column("toxic"), pa.ListArray.from_arrays(at, pa.array(h.view(np.int64))), pa.ListArray.from_arrays(at, pa.array(level))], ["l_id", "mark", "toxic", "words", "levels"])
-
-    kind = docs.schema[id_col].dataType.simpleString()
-    got = found.mapInArrow(run, f"l_id {kind}, mark long, toxic int, words array<long>, levels array<int>").toArrow().sort_by([("l_id", "ascending"), ("mark", "ascending")])
-    seen: set[int] = set()
-    sample = []
-    for mark, toxic, words, levels in zip(got.column("mark").to_pylist(), got.column("toxic").to_pylist(), got.column("words"), got.column("levels")):
-        if mark not in seen:
-            seen.add(mark)
-            sample.append((np.asarray(words.values).view(np.uint64), np.asarray(levels.values), int(toxic > 0)))
-    return learn(sample)
+    sample = durable(found.groupBy("mark").agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic"), F.min("text").alias("text")), "toxicity-sample")
+    n, n1 = sample.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
+    if not 0 < n1 < n:
+        return none
+    c, c1, half = F.col("c"), F.col("c1"), 0.5
+    stats = sample.select("toxic", "text").mapInArrow(_stats, "feature long, level int, c long, c1 long").groupBy("feature", "level").agg(F.sum("c").alias("c"), F.sum("c1").alias("c1")).where(c >= LEAST_DOCS)
+    yes, no, yes_not, no_not = c1 + half, c - c1 + half, n1 - c1 + half, (n - n1) - (c - c1) + half
+    odds = F.log(yes / yes_not) - F.log(no / no_not)
+    stats = stats.withColumn("odds", odds).where(F.abs("odds") >= LEAST_Z * F.sqrt(1 / yes + 1 / no + 1 / yes_not + 1 / no_not))
+    table = stats.select("feature", "level", "odds", "c1").orderBy("feature", "level").toPandas()
+    if not len(table):
+        return none
+    key = table["feature"].to_numpy(np.int64).view(np.uint64)
+    every, where = np.unique(key, return_inverse=True)
+    place = np.full((len(every), len(LEVELS)), -1, dtype=np.int64)
+    place[where, table["level"]] = np.arange(len(table))
+    got = sample.select("mark", "toxic", "text").mapInArrow(_shown(every, place), "mark long, toxic int, pairs array<int>").toArrow().sort_by("mark")
+    toxic = got.column("toxic").to_numpy()
+    lists = got.column("pairs").combine_chunks()
+    lists = lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists
+    pair, doc = np.asarray(lists.flatten()), np.repeat(np.arange(len(toxic)), np.asarray(lists.value_lengths()))
+    strong = ((table["odds"] > 3) & (table["c1"] >= 0.05 * n1)).to_numpy()
+    breadth = np.bincount(doc, weights=strong[pair].astype(float), minlength=len(toxic))
+    cuts = np.quantile(breadth[toxic == 1], [1 / 3, 2 / 3])
+    grade = np.where(toxic == 1, 1 + (breadth[:, None] > cuts[None, :]).sum(axis=1), 0)
+    w, thresholds = _fit(pair, doc, len(toxic), grade, len(table))
+    weights = np.zeros((len(every), len(LEVELS)))
+    weights[place >= 0] = w[place[place >= 0]]
+    return Model(every, weights.cumsum(axis=1), thresholds)
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -185,7 +201,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     def run(it):
         m = shared.value
         table = Table(m.words)
-        for batch in slices(it):
+        for batch in slices(it, 4 << 20):
             texts = batch.column("text").to_pylist()
             z = margins(m, table, texts)
             up = m.at_least(z)
@@ -204,7 +220,7 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
     def run(it):
         m = shared.value
         table = Table(m.words)
-        for batch in slices(it, column=text_col):
+        for batch in slices(it, 4 << 20, text_col):
             texts = batch.column(text_col).to_pylist()
             z = margins(m, table, texts)
             yield batch.filter(pa.array(m.at_least(z)[:, 0] < 0.5))
