@@ -93,12 +93,14 @@ def tolerance_buckets(tolerance_cents: str | Column, width: int = 500) -> Column
 
 def amount_ok(got: str | Column, want: str | Column, absolute: float = 0.01, relative: float = 0.02) -> Column:
     """Within an absolute tolerance, or one relative to the wanted amount; false if either is NULL."""
-    d = F.abs(col(got) - col(want))
-    return F.coalesce((d <= absolute) | (d <= F.abs(col(want)) * relative), F.lit(False))
+    got, want = (col(x).cast("double") for x in (got, want))
+    d = F.abs(got - want)
+    return F.coalesce((d <= absolute) | (d <= F.abs(want) * relative), F.lit(False))
 
 
 def amount_close(got: str | Column, want: str | Column, absolute: float = 0.01, relative: float = 0.002) -> Column:
-    return F.coalesce(F.abs(col(got) - col(want)) <= F.greatest(F.lit(absolute), F.abs(col(want)) * relative), F.lit(False))
+    got, want = (col(x).cast("double") for x in (got, want))
+    return F.coalesce(F.abs(got - want) <= F.greatest(F.lit(absolute), F.abs(want) * relative), F.lit(False))
 
 
 def amount_decay(difference_cents: str | Column, scale: float = 500.0) -> Column:

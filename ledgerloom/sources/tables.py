@@ -24,7 +24,7 @@ def read_csv(spark: SparkSession, paths: str | list[str], schema: str | T.Struct
 
 
 def list_files(spark: SparkSession, folder: str, pattern: str = "*", recursive: bool = False) -> DataFrame:
-    """(path, length, modificationTime) of files; contents aren't read, as only these columns are."""
+    """(path, length, modificationTime) of files that aren't empty; contents aren't read, as only these columns are."""
     reader = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", recursive)
     return reader.load(folder).select("path", "length", "modificationTime")
 
