@@ -10,4 +10,26 @@ SELECT doc_id, min(doc_id) OVER g AS keep_id, CAST(count(*) OVER g AS BIGINT) AS
 FROM n WINDOW g AS (PARTITION BY norm)
 """
 
-ORACLE = {"op6_exact_dedup": OP6}
+#: From links p (a, b), both ways, over ids of table t: each id's smallest reachable id.
+REACH = """
+reach AS (SELECT {id} AS id, {id} AS x FROM {t} UNION SELECT reach.id, p.b FROM reach JOIN p ON p.a = reach.x),
+low AS (SELECT id, min(x) AS component_id FROM reach GROUP BY id)
+"""
+
+OP4 = f"""
+WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+p AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) WHERE list_cosine_similarity(a.e, b.e) >= 0.9),
+{REACH.format(id="vec_id", t="embeddings")}
+SELECT vec_id, (SELECT count(*) FROM p WHERE p.a = vec_id) AS n_links, component_id, vec_id = component_id AS kept FROM embeddings JOIN low ON low.id = vec_id
+"""
+
+OP8 = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{WORD}') AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [w] ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i:i + 2])) END AS sh FROM d),
+e AS (SELECT doc_id, len(sh) AS n, unnest(sh) AS x FROM s),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b FROM e a JOIN e b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+{REACH.format(id="doc_id", t="documents")}
+SELECT doc_id, len(sh) AS n_shingles, component_id, doc_id = component_id AS kept FROM s JOIN low ON low.id = doc_id
+"""
+
+ORACLE = {"op4_vector_near_dedup": OP4, "op6_exact_dedup": OP6, "op8_minmax_near_dedup": OP8}
