@@ -18,6 +18,8 @@ NODES = 20
 #: Words that occur at least once in 2 ** WORDS tokens are counted in place; the others by a join.
 WORDS = 20
 END = 10
+#: Bytes of text that are taken at once, and counts that a task holds before it passes them on.
+SLICE, HELD = 2 << 20, 1_000_000
 
 
 def streams(texts: list[str | None], order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -193,19 +195,19 @@ def _counts(order: int):
         def out(kind: int):
             k, n = _merge(parts[kind])
             parts[kind] = []
-            step = 1 << 20
+            step = 1 << 18
             for a in range(0, len(k), step):
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k[a : a + step]), kind, dtype=np.int32)), pa.array(k[a : a + step].view(np.int64)), pa.array(n[a : a + step].astype(np.int64))], ["kind", "key", "n"])
 
-        for batch in slices(it):
+        for batch in slices(it, SLICE):
             texts = batch.column("text").to_pylist()
             symbols, coded, _ = streams(texts, order)
             parts[0].append(np.unique(grams(symbols, order)[coded], return_counts=True))
             parts[1].append(np.unique(word_hashes(*joined(texts))[0], return_counts=True))
             for kind in (0, 1):
-                if sum(len(k) for k, _ in parts[kind]) > 6_000_000:
+                if sum(len(k) for k, _ in parts[kind]) > 2 * HELD:
                     parts[kind] = [_merge(parts[kind])]
-                    if len(parts[kind][0][0]) > 3_000_000:
+                    if len(parts[kind][0][0]) > HELD:
                         yield from out(kind)
         for kind in (0, 1):
             if parts[kind]:
@@ -226,7 +228,7 @@ def _scores(order: int, trie, words, name: str, constants: tuple[float, ...]):
             _cached[name] = (trie.value.ready(), Table(words.value[0]), words.value[1])
         scorer, frequent, counts = _cached[name]
         row = TaskContext.get().partitionId() << 36
-        for batch in slices(it, 4 << 20):
+        for batch in slices(it, SLICE):
             texts = batch.column("text").to_pylist()
             m = len(texts)
             symbols, coded, first = streams(texts, order)
