@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -91,6 +93,17 @@ def tolerance_buckets(tolerance_cents: str | Column, width: int = 500) -> Column
     return F.ceil(col(tolerance_cents).cast("double") / width).cast("long")
 
 
+def amount_band(amount_cents: str | Column, pct: float, floor_cents: int = 0) -> Column:
+    """Numbered bands of amounts: two whose distance is within pct of either's size plus floor_cents, rounded, are in one
+    band or in neighbouring ones. Bands are even on a log scale that is linear about zero, so they serve both signs and
+    are as many as the range of amounts has steps of pct."""
+    if pct <= 0:
+        return F.floor(col(amount_cents) / max(1, floor_cents)).cast("long")
+    near_zero, width = (floor_cents + 0.5) / pct, -math.log1p(-pct) * (1 + 1e-9)
+    v = col(amount_cents).cast("double")
+    return F.floor(F.signum(v) * F.log1p(F.abs(v) / near_zero) / width).cast("long")
+
+
 def amount_ok(got: str | Column, want: str | Column, absolute: float = 0.01, relative: float = 0.02) -> Column:
     """Within an absolute tolerance, or one relative to the wanted amount; false if either is NULL."""
     got, want = (col(x).cast("double") for x in (got, want))

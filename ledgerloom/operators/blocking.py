@@ -10,17 +10,34 @@ from pyspark.sql import functions as F
 from ..functions import scalars as S
 
 
-def week_band_join(left: DataFrame, right: DataFrame, left_date: str, right_date: str, radius: int, residual: Column | None = None, how_many: str = "left") -> DataFrame:
+#: Columns of cents on the left and right, tolerance as a share, and as cents: what amount_band() takes.
+Amounts = tuple[str, str, float, int]
+
+
+def _keyed(few: DataFrame, many: DataFrame, few_step: Column, many_step: Column, radius: int, few_cents: str | None, many_cents: str | None, tolerance: tuple[float, int]) -> DataFrame:
+    """few joined to many where steps are at most `radius` apart, and amounts' bands at most one, as an equal join."""
+    few, many, on = few.withColumn("__step", F.explode(F.sequence(few_step - radius, few_step + radius))), many.withColumn("__step", many_step), ["__step"]
+    if few_cents and many_cents:
+        band = S.amount_band(few_cents, *tolerance)
+        few, many = few.withColumn("__band", F.explode(F.sequence(band - 1, band + 1))), many.withColumn("__band", S.amount_band(many_cents, *tolerance))
+        on.append("__band")
+    return few.join(many, on).drop(*on)
+
+
+def week_band_join(left: DataFrame, right: DataFrame, left_date: str, right_date: str, radius: int, residual: Column | None = None, how_many: str = "left", amounts: Amounts | None = None) -> DataFrame:
     """Pairs whose dates' weeks are at most `radius` apart and that meet the residual.
 
     One side is repeated for each week in reach, 2 * radius + 1 rows, and joined to the other on equal weeks, which is a
     hash or sort-merge join that adaptive execution splits where a week is busy; a band condition alone would be a
-    nested loop. how_many: the side to repeat, best the smaller one.
+    nested loop. With amounts, whose tolerance the residual must not exceed, it is repeated for three amount bands as
+    well: a week then holds as many pairs as amounts agree, not all of its rows squared. how_many: the side to repeat,
+    best the smaller one.
     """
-    few, many, few_date, many_date = (left, right, left_date, right_date) if how_many == "left" else (right, left, right_date, left_date)
-    w = S.week(few_date)
-    few = few.withColumn("__week", F.explode(F.sequence(w - radius, w + radius)))
-    out = few.join(many.withColumn("__week", S.week(many_date)), "__week").drop("__week")
+    lc, rc, *tolerance = amounts or (None, None, 0.0, 0)
+    if how_many == "left":
+        out = _keyed(left, right, S.week(left_date), S.week(right_date), radius, lc, rc, tuple(tolerance))
+    else:
+        out = _keyed(right, left, S.week(right_date), S.week(left_date), radius, rc, lc, tuple(tolerance))
     return out if residual is None else out.where(residual)
 
 
@@ -45,12 +62,13 @@ def block_candidates(left: DataFrame, right: DataFrame, on: tuple[str, str], lef
     return left.join(right, cond & S.currency_ok(*currencies) & (S.days_apart(left_date, right_date) <= days))
 
 
-def wide_block_join(left: DataFrame, right: DataFrame, left_date: str, right_date: str, residual: Column, days: int = 120) -> DataFrame:
+def wide_block_join(left: DataFrame, right: DataFrame, left_date: str, right_date: str, residual: Column, days: int = 120, amounts: Amounts | None = None) -> DataFrame:
     """Keyless pairs with dates at most `days` apart: both dates fall into windows of that many days, so pairs lie in the
-    same window or the next; the residual decides. No cross join."""
+    same window or the next; amounts, if given, in the same band or the next; the residual decides. No cross join."""
     window = lambda c: F.floor(F.datediff(F.col(c), F.lit("1970-01-01").cast("date")) / days).cast("int")
-    near = left.withColumn("__w", F.explode(F.sequence(window(left_date) - 1, window(left_date) + 1)))
-    return near.join(right.withColumn("__w", window(right_date)), "__w").drop("__w").where((S.days_apart(left_date, right_date) <= days) & residual)
+    lc, rc, *tolerance = amounts or (None, None, 0.0, 0)
+    near = _keyed(left, right, window(left_date), window(right_date), 1, lc, rc, tuple(tolerance))
+    return near.where((S.days_apart(left_date, right_date) <= days) & residual)
 
 
 def bucket_prefilter(pairs: DataFrame, left_amount: str, right_amount: str, left_date: str, right_date: str, currencies: tuple[str, str], months: int = 4, band: float = 0.03) -> DataFrame:

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _cut(df: DataFrame) -> DataFrame:
+def cut(df: DataFrame) -> DataFrame:
+    """df from a checkpoint in the shared folder: computed once, whatever reads it, and safe from lost executors."""
     spark = df.sparkSession
     if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerloom-"))
@@ -21,7 +22,7 @@ def connected(edges: DataFrame, rounds: int = 60) -> DataFrame:
     Each round points every neighbour that is larger at a node's smallest neighbour, then does the same among smaller
     ones: two aggregations and two joins. It ends when a round changes nothing.
     """
-    e = _cut(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct())
+    e = cut(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct())
     seen = None
     for _ in range(rounds):
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -29,7 +30,7 @@ def connected(edges: DataFrame, rounds: int = 60) -> DataFrame:
         e = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         low = e.groupBy("u").agg(F.min("v").alias("m"))
         e = e.join(low, "u").select(F.inline(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v"))))).where("u <> v").distinct()
-        e = _cut(e)
+        e = cut(e)
         now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == seen:
             roots = e.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()

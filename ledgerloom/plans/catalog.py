@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import scalars as S
 from ..operators import blocking, flow, judge, knn, remittance_json, shaping, subset, sums, tickets
 from ..sources.fixtures import table, view, with_views
-from . import pipelines
+from . import pipelines, reconcile
 
 NOW = "2024-02-06 00:00:00"
 QUERIES: dict = {}
@@ -62,14 +62,14 @@ _DATED = f"""dated AS (SELECT receipt_id, custno, invno, {cents('r.amount')} AS
   FROM receipts r JOIN invoices i ON payercust_custno = custno AND invdate >= receipt_date - INTERVAL {{0}} MONTH AND invdate <= receipt_date + INTERVAL {{1}} MONTH)"""
 
 
-@query(
-    f""", {_DATED.format(12, 1)}, s AS (SELECT receipt_id, custno, any_value(r_cents) AS r_cents, CAST(sum(c1) AS BIGINT) AS s1, CAST(sum(c2) AS BIGINT) AS s2, CAST(sum(c3) AS BIGINT) AS s3, CAST(sum(c4) AS BIGINT) AS s4, count(*) AS line_count, count(DISTINCT invno) AS invno_count
+_WHOLE = f"""{_DATED.format(12, 1)}, s AS (SELECT receipt_id, custno, any_value(r_cents) AS r_cents, CAST(sum(c1) AS BIGINT) AS s1, CAST(sum(c2) AS BIGINT) AS s2, CAST(sum(c3) AS BIGINT) AS s3, CAST(sum(c4) AS BIGINT) AS s4, count(*) AS line_count, count(DISTINCT invno) AS invno_count
   FROM dated GROUP BY ALL HAVING count(DISTINCT app_date) = 1 AND count(DISTINCT duedate) = 1),
-b AS (SELECT *, least(abs(s1 - r_cents), abs(s2 - r_cents), abs(s3 - r_cents), abs(s4 - r_cents)) AS d FROM s)
-SELECT receipt_id, custno, r_cents, line_count, invno_count, CASE d WHEN abs(s1 - r_cents) THEN 'sum_amount' WHEN abs(s2 - r_cents) THEN 'sum_invamt' WHEN abs(s3 - r_cents) THEN 'sum_balance' ELSE 'sum_app_amount' END AS matched_field, d AS match_diff
-FROM b WHERE d <= 1""",
-    ("receipts",),
-)
+b AS (SELECT *, least(abs(s1 - r_cents), abs(s2 - r_cents), abs(s3 - r_cents), abs(s4 - r_cents)) AS d FROM s),
+whole AS (SELECT receipt_id, custno, r_cents, line_count, invno_count, CASE d WHEN abs(s1 - r_cents) THEN 'sum_amount' WHEN abs(s2 - r_cents) THEN 'sum_invamt' WHEN abs(s3 - r_cents) THEN 'sum_balance' ELSE 'sum_app_amount' END AS matched_field, d AS match_diff
+FROM b WHERE d <= 1)"""
+
+
+@query(f", {_WHOLE} SELECT * FROM whole", ("receipts",))
 def whole_set_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = sums.whole_set_sums(view(spark, sf_dir, "receipts"), view(spark, sf_dir, "invoices"))
     return out.select("receipt_id", "custno", "r_cents", "line_count", "invno_count", "matched_field", F.abs("diff_cents").alias("match_diff"))
@@ -89,6 +89,17 @@ def greedy_prefix_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sums.greedy_prefix_sums(view(spark, sf_dir, "receipts"), view(spark, sf_dir, "invoices"))
 
 
+@query(
+    f""", {_WHOLE}, {_DATED.format(24, 2).replace('dated AS', 'wider AS', 1)}, ok AS (SELECT * FROM wider WHERE (receipt_id, custno) IN (SELECT (receipt_id, custno) FROM wider GROUP BY receipt_id, custno HAVING count(DISTINCT app_date) = 1 AND count(DISTINCT duedate) = 1) AND (receipt_id, custno) NOT IN (SELECT (receipt_id, custno) FROM whole)),
+g AS ({' UNION ALL '.join(_RUN.format(name=n, c=c) for n, c in (('greedy_amount', 'c1'), ('greedy_invamt', 'c2'), ('greedy_balance', 'c3'), ('greedy_app_amount', 'c4')))}),
+k AS (SELECT *, abs(greedy_cents - r_cents) AS diff_cents FROM g WHERE abs(greedy_cents - r_cents) <= 1 QUALIFY row_number() OVER (PARTITION BY receipt_id, custno ORDER BY abs(greedy_cents - r_cents), match_basis) = 1)
+SELECT receipt_id, custno, r_cents, 1 AS stage, matched_field AS match_basis, match_diff AS diff_cents, line_count FROM whole UNION ALL SELECT receipt_id, custno, r_cents, 2, match_basis, diff_cents, greedy_rows FROM k""",
+    ("receipts",),
+)
+def receipts_to_invoices_staged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reconcile.receipts_to_invoices_staged(view(spark, sf_dir, "receipts"), view(spark, sf_dir, "invoices"))
+
+
 _SCORED = f"""h AS (SELECT document_id, remitreceipt_id, remittance_date AS m_date, {norm('payer_name')} AS m_name, {norm('payer_address')} AS m_addr, unnest([{{{{'f': 'total_remittance_amount', 'v': total_remittance_amount}}}}, {{{{'f': 'total_amount_paid', 'v': total_amount_paid}}}}]) AS a, total_remittance_amount AS t FROM remit_headers),
 m AS (SELECT *, a.f AS amount_field, {cents('a.v')} AS m_cents FROM h WHERE a.v IS NOT NULL AND NOT (a.f = 'total_amount_paid' AND a.v IS NOT DISTINCT FROM t)),
 r AS (SELECT receipt_id, receipt_date AS r_date, {cents('amount')} AS r_cents, {norm('payercust_company')} AS r_name, {norm('payercust_address1')} AS r_addr FROM receipts WHERE amount IS NOT NULL),
@@ -371,9 +382,99 @@ def rag_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.withColumn("text", S.labelled_text({"role": "role", "text": "body"})).where("text <> ''").select("conv_id", "turn", "text")
 
 
+@query(
+    "SELECT receipt_id AS recpt_receipt_id, r.amount AS recpt_amount, i.invno AS inv_invno, i.invamt AS inv_invamt FROM receipts r LEFT JOIN invoices i ON payercust_custno = custno AND abs(round(r.amount * 100) - round(i.invamt * 100)) <= 1 AND r.currency = i.currency AND abs(date_diff('day', receipt_date, invdate)) <= 90",
+    ("receipts",),
+)
+def match_details(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hits = presolve_exact(spark, sf_dir).select(F.col("receipt_id").alias("m_receipt"), F.col("invno").alias("m_invno"))
+    out = shaping.reattach(view(spark, sf_dir, "receipts"), "receipt_id", hits, "m_receipt", "m_invno", view(spark, sf_dir, "invoices"), "invno", ("recpt_", "inv_"))
+    return out.select("recpt_receipt_id", "recpt_amount", "inv_invno", "inv_invamt")
+
+
+@query(
+    f""", m AS (SELECT remitreceipt_id, upper(invoice_number) AS m_no, invoice_amount AS a, {cents('invoice_amount')} AS m_cents, invoice_date AS d, currency, {norm('payer_name')} AS n FROM remit_lines),
+i AS (SELECT invno, invamt, {cents('invamt')} AS i_cents, invdate, currency, {norm('company')} AS n FROM invoices),
+c AS (SELECT remitreceipt_id, invno, m_cents, i_cents, abs(date_diff('day', d, invdate)) AS day_diff, round(0.55 * least(greatest(1 - abs(a - invamt) / greatest(1.0, abs(a)), 0), 1) + 0.20 * (1 - least(abs(date_diff('day', d, invdate)), 365) / 365.0)
+  + 0.15 * CASE WHEN m.n <> '' AND left(m.n, 8) = left(i.n, 8) THEN 1 ELSE 0 END + 0.10 * CASE WHEN m_no = upper(invno) THEN 1 ELSE 0 END, 6) AS block_score
+  FROM m JOIN i ON m.currency = i.currency AND abs(date_diff('day', d, invdate)) <= 10 AND abs(m_cents - i_cents) <= round(CAST(abs(m_cents) AS DOUBLE) * CAST(0.03 AS DOUBLE)))
+SELECT *, row_number() OVER (PARTITION BY remitreceipt_id ORDER BY block_score DESC, day_diff, invno) AS rank0 FROM c QUALIFY rank0 <= 250""",
+    ("remit_lines",),
+)
+def remit_block_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reconcile.remit_blocked_edges(view(spark, sf_dir, "remit_lines"), view(spark, sf_dir, "invoices"))
+
+
+@query(
+    f"""WITH {_KNN.format(6)}, b AS (SELECT query_id, index_id, cosine FROM k WHERE query_id <> index_id AND cosine >= 0.9 QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY cosine DESC, index_id) = 1)
+SELECT vec_id AS query_id, index_id, cosine, coalesce(cosine, 0) AS confidence FROM embeddings LEFT JOIN b ON query_id = vec_id WHERE vec_id % 20 = 0"""
+)
+def best_match_judged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    queries, index = _vectors(spark, sf_dir)
+    others = knn.knn(queries, index, k=6, floor=0.2).where("query_id <> index_id")
+    return reconcile.best_judged(others, queries.select(F.col("id").alias("query_id")), judge.closeness_judge)
+
+
+@query("SELECT event_id, row_number() OVER (ORDER BY ts, event_id) AS seq FROM events")
+def row_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shaping.sequence_ids(table(spark, sf_dir, "events").select("ts", "event_id"), [F.col("ts"), F.col("event_id")]).select("event_id", "seq")
+
+
+@query(
+    f"""SELECT o_orderkey, CAST(o_orderdate AS DATE) AS parsed_date, round(o_totalprice, 2) AS parsed_money, CAST(floor(c / 500) AS BIGINT) AS bucket, CAST(greatest(25, round(CAST(abs(c) AS DOUBLE) * CAST(0.01 AS DOUBLE))) AS BIGINT) AS tolerance,
+  CAST(floor(date_diff('day', DATE '1970-01-01', CAST(o_orderdate AS DATE)) / 7) AS INT) AS week_no, CASE WHEN c % 1000 = 0 THEN 1.0 ELSE round(exp(-(c % 1000) / 500.0), 6) END AS decay, strftime(o_orderdate, '%Y-%m') AS month_of FROM (SELECT *, {cents('o_totalprice')} AS c FROM orders)"""
+)
+def scalar_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = S.cents("o_totalprice")
+    return table(spark, sf_dir, "orders").select(
+        "o_orderkey", S.parse_date(F.date_format("o_orderdate", "MM/dd/yyyy")).alias("parsed_date"), S.money(F.concat(F.lit("$"), F.format_number("o_totalprice", 2))).alias("parsed_money"), S.amount_bucket(c).alias("bucket"), S.tolerance(c, 0.01, 25).alias("tolerance"),
+        S.week("o_orderdate").alias("week_no"), F.round(S.amount_decay(c % 1000), 6).alias("decay"), S.month_of("o_orderdate").alias("month_of"),
+    )
+
+
 # --- what SQL can't state: properties are tested in tests/ -----------------------------------------------------------
 
 
+def _remitted(spark: SparkSession, sf_dir: str) -> reconcile.Reconciled:
+    """The newest remittance of each document against all receipts."""
+    newest = shaping.latest(view(spark, sf_dir, "remit_headers"), ["document_id"], ["remittance_date", "remitreceipt_id"])
+    name = lambda *c: F.concat_ws(" ", *[S.norm_name(x) for x in c])
+    m = newest.select(F.col("document_id").alias("remit_id"), "check_no", S.cents("total_remittance_amount").alias("m_cents"), F.col("remittance_date").alias("m_date"), F.col("currency").alias("m_currency"), name("payer_name", "payer_address").alias("m_text"))
+    r = view(spark, sf_dir, "receipts").select("receipt_id", "check_num", S.cents("amount").alias("r_cents"), F.col("receipt_date").alias("r_date"), F.col("currency").alias("r_currency"), name("payercust_company", "payercust_address1").alias("r_text"))
+    return reconcile.remittances_to_receipts(m, r, judge.trigram_embedder)
+
+
+@query()
+def remittances_to_receipts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _remitted(spark, sf_dir).results
+
+
+@query()
+def remittances_review(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _remitted(spark, sf_dir).review
+
+
+@query()
+def remittances_chosen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _remitted(spark, sf_dir).chosen
+
+
+@query()
+def vector_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reconcile.receipts_to_invoices_by_vectors(view(spark, sf_dir, "receipts"), view(spark, sf_dir, "invoices"), judge.trigram_embedder)
+
+
+@query()
+def judged_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reconcile.judged_sets(receipt_invoice_sets(spark, sf_dir), judge.closeness_judge)
+
+
+@query()
+def tickets_similar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = tickets.corpus(tickets.snapshot(view(spark, sf_dir, "tickets")), ["state", "assigned_to", "category"])
+    return reconcile.similar_tickets(rows.select("number", "text"), judge.trigram_embedder, "purchases of agent3")
+
+
 @query()
 def subset_sum_beam(spark: SparkSession, sf_dir: str) -> DataFrame:
     pool = pipelines.invoice_pool(view(spark, sf_dir, "receipts"), view(spark, sf_dir, "shadowed"))

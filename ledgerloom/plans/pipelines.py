@@ -35,7 +35,7 @@ def receipt_remittance_scores(receipts: DataFrame, remittances: DataFrame, pct:
     """Scored candidates: amounts in tolerance, dates within `days`, the best topk a receipt."""
     r, m = receipt_headers(receipts, pct, floor_cents), remittance_headers(remittances)
     near = (F.abs(F.col("r_cents") - F.col("m_cents")) <= F.col("r_tol")) & (S.days_apart("r_date", "m_date") <= days)
-    c = _features(blocking.week_band_join(r, m, "r_date", "m_date", radius, near), ("r_cents", "r_date", "r_name", "r_addr"), ("m_cents", "m_date", "m_name", "m_addr"))
+    c = _features(blocking.week_band_join(r, m, "r_date", "m_date", radius, near, amounts=("r_cents", "m_cents", pct, floor_cents)), ("r_cents", "r_date", "r_name", "r_addr"), ("m_cents", "m_date", "m_name", "m_addr"))
     score = W.RECEIPT_REMITTANCE.score(amount=S.amount_decay("amt_diff"), date=S.date_decay("day_diff"), name="name_sim", address="addr_sim")
     c = c.withColumn("pre_score", F.round(score, 6)).select("receipt_id", "document_id", "remitreceipt_id", "amount_field", "amt_diff", "day_diff", "name_sim", "addr_sim", "pre_score")
     return shaping.top_by(c, ["receipt_id"], [F.desc("pre_score"), F.asc("amt_diff"), F.asc("document_id"), F.asc("remitreceipt_id"), F.asc("amount_field")], topk, "rank0")
@@ -58,7 +58,7 @@ def remit_line_scores(lines: DataFrame, invoices: DataFrame, pct: float = 0.01,
     i = i.where("i_date IS NOT NULL AND i_cents IS NOT NULL")
     letter = (F.substring("r_name", 1, 1) == F.substring("i_name", 1, 1)) | (F.col("r_name") == "") | (F.col("i_name") == "")
     near = (F.abs(F.col("r_cents") - F.col("i_cents")) <= F.col("r_tol")) & (S.days_apart("r_date", "i_date") <= days) & letter
-    c = _features(blocking.week_band_join(r, i, "r_date", "i_date", radius, near), ("r_cents", "r_date", "r_name", "r_addr"), ("i_cents", "i_date", "i_name", "i_addr"))
+    c = _features(blocking.week_band_join(r, i, "r_date", "i_date", radius, near, amounts=("r_cents", "i_cents", pct, floor_cents)), ("r_cents", "r_date", "r_name", "r_addr"), ("i_cents", "i_date", "i_name", "i_addr"))
     c = c.withColumn("invno_match", (F.col("r_no") != "") & (F.col("r_no") == F.col("i_no")))
     score = W.REMITTANCE_INVOICE.score(amount=S.amount_decay("amt_diff"), name="name_sim", date=S.date_decay("day_diff"), address="addr_sim", number=F.col("invno_match").cast("double"))
     c = c.withColumn("pre_score", F.round(score, 6)).select("remit_line_id", "invno", "amt_diff", "day_diff", "invno_match", "pre_score")

@@ -24,7 +24,7 @@ def test_queries_match_their_sql(spark):
     con = duckdb.connect()
     for t in "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split():
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
-    for name in ("closest_sum", "whole_set_sum", "presolve_exact", "grouping_labels", "tickets_snapshot", "knn_topk"):
+    for name in ("closest_sum", "whole_set_sum", "presolve_exact", "grouping_labels", "tickets_snapshot", "knn_topk", "match_details", "best_match_judged", "row_sequence"):
         df = catalog.QUERIES[name](spark, SF)
         r = con.execute(catalog.ORACLE[name])
         cols = [x[0] for x in r.description]
