@@ -6,20 +6,20 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import _IS_SPACE, _LOWER, durable, joined, slices, word_hashes
 
 #: Bytes of context at most.
 ORDER = 5
-#: A trie keeps what occurs at least once in 2 ** NODES symbols, so each order has at most 2 ** NODES entries at any size.
-NODES = 20
+#: The most frequent grams, at most so many, are scored in place; the others by a join.
+LISTED = 1 << 18
 #: Words that occur at least once in 2 ** WORDS tokens are counted in place; the others by a join.
 WORDS = 20
 END = 10
 #: Bytes of text that are taken at once, and counts that a task holds before it passes them on.
-SLICE, HELD = 2 << 20, 1_000_000
+SLICE, HELD = 2 << 20, 500_000
 
 
 def streams(texts: list[str | None], order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -138,6 +138,9 @@ class Scorer:
                 left = 0.5 * (self.distinct[k - 1][up] - self.distinct[k]) + self.pruned[k - 1][up]
                 self.down.append(np.where(below > 0, np.log10(np.where(below > 0, left / np.maximum(below, 1e-300), 1)), 0.0))
 
+    def look(self, g: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return self.score(g), np.ones(len(g), dtype=bool)
+
     def score(self, g: np.ndarray) -> np.ndarray:
         """For grams of order + 1 symbols."""
         at = self.child[self.order].find(g)
@@ -175,7 +178,26 @@ class Scorer:
         return out
 
 
-_cached: dict[str, Scorer] = {}
+@dataclass
+class Listed:
+    """Some grams of order + 1 symbols with their scores; the others are left open."""
+
+    keys: np.ndarray
+    scores: np.ndarray
+
+    def ready(self) -> "Listed":
+        self.table = Table(self.keys)
+        return self
+
+    def look(self, g: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = self.table.find(g)
+        hit = at >= 0
+        out = np.zeros(len(g))
+        out[hit] = self.scores[at[hit]]
+        return out, hit
+
+
+_cached: dict[str, tuple] = {}
 
 
 def _merge(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -216,8 +238,16 @@ def _counts(order: int):
     return run
 
 
+def _by_owner(keys: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(key, owner, how often) for each distinct pair of them."""
+    o = np.lexsort((keys, owner))
+    keys, owner = keys[o], owner[o]
+    new = np.flatnonzero(np.concatenate([[True], (np.diff(owner) != 0) | (keys[1:] != keys[:-1])])) if len(keys) else np.zeros(0, dtype=np.int64)
+    return keys[new], owner[new], np.diff(np.append(new, len(keys)))
+
+
 def _scores(order: int, trie, words, name: str, constants: tuple[float, ...]):
-    """One row for each text (kind 0), and rows for its words that aren't among the frequent ones (kind 1)."""
+    """One row for each text (kind 0), and rows for its words (kind 1) and grams (kind 2) that aren't among the frequent ones."""
     end_score, end_known, denominator = constants
 
     def run(it):
@@ -228,33 +258,32 @@ def _scores(order: int, trie, words, name: str, constants: tuple[float, ...]):
             _cached[name] = (trie.value.ready(), Table(words.value[0]), words.value[1])
         scorer, frequent, counts = _cached[name]
         row = TaskContext.get().partitionId() << 36
-        for batch in slices(it, SLICE):
+        for batch in slices(it, SLICE // 4):  # of which each byte may give a row
             texts = batch.column("text").to_pylist()
             m = len(texts)
             symbols, coded, first = streams(texts, order)
             lp = np.zeros(len(symbols))
-            lp[coded] = scorer.score(grams(symbols, order)[coded])
+            g = grams(symbols, order)[coded]
+            lp[coded], listed = scorer.look(g)
             score = np.add.reduceat(lp, first)
+            of = np.repeat(np.arange(m), np.diff(np.append(first, len(symbols))))[coded]
             h, doc, _, _ = word_hashes(*joined(texts))
             n_words = np.bincount(doc, minlength=m)
             at = frequent.find(h)
             hit = at >= 0
             base = np.bincount(doc[hit], weights=np.log10((counts[at[hit]] + 0.5) / denominator), minlength=m) + end_score
             known = np.bincount(doc[hit], minlength=m) + end_known
-            rare, owner = h[~hit], doc[~hit]
-            o = np.lexsort((rare, owner))
-            rare, owner = rare[o], owner[o]
-            new = np.flatnonzero(np.concatenate([[True], (np.diff(owner) != 0) | (rare[1:] != rare[:-1])])) if len(rare) else np.zeros(0, dtype=np.int64)
-            n = np.diff(np.append(new, len(rare)))
-            k = len(new)
+            rare, owner, n = _by_owner(h[~hit], doc[~hit])
+            open_, open_owner, open_n = _by_owner(g[~listed], of[~listed])
+            k = len(rare) + len(open_)
             rows = row + np.arange(m)
             nul = lambda kind: pa.nulls(k, kind)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.concatenate([np.zeros(m, dtype=np.int32), np.ones(k, dtype=np.int32)])),
-                    pa.array(np.concatenate([rows, rows[owner[new]]])),
-                    pa.concat_arrays([pa.nulls(m, pa.int64()), pa.array(rare[new].view(np.int64))]),
-                    pa.array(np.concatenate([n_words + 1, n]).astype(np.int64)),
+                    pa.array(np.repeat(np.arange(3, dtype=np.int32), [m, len(rare), len(open_)])),
+                    pa.array(np.concatenate([rows, rows[owner], rows[open_owner]])),
+                    pa.concat_arrays([pa.nulls(m, pa.int64()), pa.array(np.concatenate([rare, open_]).view(np.int64))]),
+                    pa.array(np.concatenate([n_words + 1, n, open_n]).astype(np.int64)),
                     pa.concat_arrays([batch.column("id"), pa.nulls(k, batch.column("id").type)]),
                     pa.concat_arrays([batch.column("held_out"), nul(pa.bool_())]),
                     pa.array(np.concatenate([known, np.zeros(k)]).astype(np.int64)),
@@ -289,17 +318,72 @@ def train(counts: DataFrame, order: int, nodes: int) -> Trie:
     return Trie(order, children, contexts)
 
 
-def lm_scores(docs: DataFrame, order: int = ORDER, nodes: int = NODES, words: int = WORDS, folds: int = 5, held_out: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _cut(c, size: int):
+    """The last `size` symbols of a gram."""
+    return c.bitwiseAND(F.lit((1 << (8 * size)) - 1))
+
+
+def _levels(counts: DataFrame, order: int) -> list[DataFrame]:
+    """For each k, all grams of k + 1 symbols (key) and how often they occur (n)."""
+    out = [counts.where("kind = 0").select("key", "n")]
+    for k in range(order - 1, -1, -1):
+        out.append(durable(out[-1].select(_cut(F.col("key"), k + 1).alias("key"), "n").groupBy("key").agg(F.sum("n").alias("n")), "ppm-grams"))
+    return out[::-1]
+
+
+def _seen(grams_: DataFrame) -> DataFrame:
+    """(key, n, lp): each gram that occurs, with its score after its whole context; a context has at most 256 rows."""
+    total = F.sum("n").over(Window.partitionBy(F.shiftrightunsigned("key", 8)))
+    return durable(grams_.select("key", "n", F.log10((F.col("n") - 0.5) / total).alias("lp")), "ppm-seen")
+
+
+def _listed(seen: DataFrame) -> Listed:
+    """The most frequent grams, LISTED at most: whole classes of counts, from the highest down."""
+    kind = F.floor(F.log2("n") * 8)
+    sizes = seen.groupBy(kind.alias("kind")).agg(F.count("*").alias("rows")).toPandas().sort_values("kind", ascending=False)
+    fits = sizes["kind"][sizes["rows"].cumsum() <= LISTED]
+    if not len(fits):
+        return Listed(np.zeros(0, np.uint64), np.zeros(0))
+    most = seen.where(kind >= int(fits.min())).select("key", "lp").toArrow()
+    return Listed(most["key"].to_numpy().view(np.uint64), most["lp"].to_numpy())
+
+
+def _unseen(keys: DataFrame, levels: list[DataFrame]) -> DataFrame:
+    """(key, lp) for distinct grams that don't occur: escapes from context to context as Scorer has them, as joins.
+
+    Only contexts of these grams are summed up. Contexts of two symbols or fewer are at most 65,536 and are broadcast.
+    """
+    none = F.lit(None).cast("long")
+    walk = keys.select("key", F.lit(0.0).alias("lp"), F.lit(True).alias("live"), none.alias("came_d"), none.alias("came_taken"))
+    for k in range(len(levels) - 1, -1, -1):
+        walk = walk.withColumn("context", _cut(F.shiftrightunsigned("key", 8), k)).withColumn("gram", _cut(F.col("key"), k + 1))
+        own = levels[k].select(F.shiftrightunsigned("key", 8).alias("context"), "key", "n").join(walk.select("context").distinct(), "context", "left_semi")
+        own = own.withColumn("key", _cut(F.col("key"), k)).join(levels[k - 1].select("key", F.col("n").alias("m")), "key") if k else own.withColumn("m", F.lit(0))
+        node = own.groupBy("context").agg(F.sum("n").alias("total"), F.count("*").alias("d"), F.sum("m").alias("taken"))
+        child = levels[k].select(F.col("key").alias("gram"), F.col("n").alias("c"))
+        walk = walk.join(F.broadcast(node) if k <= 2 else node, "context", "left").join(F.broadcast(child) if k <= 1 else child, "gram", "left")
+        below = F.nullif(F.col("total") - F.coalesce("came_taken", F.lit(0)), F.lit(0))  # null: nothing is left below, or no such context
+        hit, left = F.log10((F.col("c") - 0.5) / below), F.log10(0.5 * (F.col("d") - F.coalesce("came_d", F.lit(0))) / below)
+        step = F.when(F.col("live"), F.coalesce(hit, left, F.lit(0.0))).otherwise(0.0)
+        last = F.log10(256 - F.coalesce("d", F.lit(0))) if not k else F.lit(0.0)
+        live = F.col("live") & F.col("c").isNull()
+        walk = walk.select("key", (F.col("lp") + step - F.when(live, last).otherwise(0.0)).alias("lp"), live.alias("live"), F.coalesce("d", "came_d").alias("came_d"), F.coalesce("taken", "came_taken").alias("came_taken"))
+    return walk.select("key", "lp")
+
+
+def lm_scores(docs: DataFrame, order: int = ORDER, nodes: int | None = None, words: int = WORDS, folds: int = 5, held_out: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row for each row of docs: id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10).
 
     Training texts are those whose crc32(id as text) mod folds isn't held_out; a null id counts as empty text there.
     Tokens: lower-cased (A-Z) words, then one end. base_score: their add-half unigram. score: that of the byte trie for
     the words with one space between and an end symbol, so both are probabilities of the same tokens.
 
-    All training bytes are counted, merged in tasks, then by shuffle. The trie keeps contexts and symbols that occur at
-    least once in 2 ** nodes, and the word list likewise; what occurs so often can't be more than 2 ** nodes an order, so
-    driver and broadcast are bounded at any size, and what is dropped goes to the escape. Rarer words are counted by
-    a join on their 64-bit hashes; no such key is frequent, so none is hot.
+    All training bytes are counted, merged in tasks, then by shuffle, and all counts of all orders stay in durable tables
+    that grow with the input. The LISTED most frequent grams and words that occur at least once in 2 ** words are scored in
+    place from broadcasts, which bounds these at any size; the others are scored by joins on grams and on 64-bit hashes of
+    words. No key of these is frequent, so none is hot. Grams that don't occur in training take their escapes by joins, once
+    for each distinct gram. With `nodes`, a smaller model is made instead: a trie of what occurs at least once in 2 ** nodes
+    symbols, where what is dropped goes to the escape.
 
     Null text is empty: one token, the end. Rows that repeat an id are texts of their own. Without training texts,
     train_tokens is 0 and scores are those of the empty model. No rows in, no rows out; other columns are ignored.
@@ -308,10 +392,16 @@ def lm_scores(docs: DataFrame, order: int = ORDER, nodes: int = NODES, words: in
     base = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), out_of.alias("held_out"))
     counts = base.where("NOT held_out").select("text").mapInArrow(_counts(order), "kind int, key long, n long")
     counts = durable(counts.groupBy("kind", "key").agg(F.sum("n").alias("n")), "ppm-counts")
-    trie = train(counts, order, nodes)
     spark = docs.sparkSession
+    if nodes is None:
+        levels = _levels(counts, order)
+        seen = _seen(levels[order])
+        model = _listed(seen)
+        ends = (levels[0].where(F.col("key") == END).agg(F.sum("n")).first()[0]) or 0
+    else:
+        model = train(counts, order, nodes)
+        ends = int(model.children[0][1][model.children[0][0] == END].sum())
     sums = counts.where("kind = 1").agg(F.count("*"), F.sum("n")).first()
-    ends = int(trie.children[0][1][trie.children[0][0] == END].sum())
     if not ends:  # an end is rarer than the threshold, in very long texts
         ends = base.where("NOT held_out").count()
     total, distinct = (sums[1] or 0) + ends, sums[0] + (ends > 0)
@@ -320,7 +410,7 @@ def lm_scores(docs: DataFrame, order: int = ORDER, nodes: int = NODES, words: in
     frequent = counts.where((F.col("kind") == 1) & (F.col("n") >= least)).select("key", "n").toPandas()
     keys = frequent["key"].to_numpy(np.int64).view(np.uint64)
     sc = spark.sparkContext
-    shared, listed = sc.broadcast(trie), sc.broadcast((keys, frequent["n"].to_numpy(np.float64)))
+    shared, listed = sc.broadcast(model), sc.broadcast((keys, frequent["n"].to_numpy(np.float64)))
     constants = (float(np.log10((ends + 0.5) / denominator)), float(ends > 0), float(denominator))
     kind = docs.schema[id_col].dataType.simpleString()
     name = f"{sc.applicationId}-{shared._jbroadcast.id() if hasattr(shared, '_jbroadcast') else id(shared)}"
@@ -331,6 +421,11 @@ def lm_scores(docs: DataFrame, order: int = ORDER, nodes: int = NODES, words: in
     c = F.coalesce("c", F.lit(0))
     more = missing.groupBy("row").agg(F.sum(F.when(c > 0, F.col("n")).otherwise(0)).alias("known2"), F.sum(F.col("n") * F.log10((c + 0.5) / denominator)).alias("base2"))
     out = found.where("kind = 0").select("row", "id", "held_out", "n", "known", "base", "score").join(more, "row", "left")
+    if nodes is None:
+        asked = found.where("kind = 2").select("row", "key", "n")
+        unseen = durable(asked.select("key").distinct().join(seen, "key", "left_anti"), "ppm-unseen")
+        lp = seen.select("key", "lp").unionByName(durable(_unseen(unseen, levels), "ppm-escapes"))
+        out = out.join(asked.join(lp, "key").groupBy("row").agg(F.sum(F.col("n") * F.col("lp")).alias("score2")), "row", "left").withColumn("score", F.col("score") + F.coalesce("score2", F.lit(0.0)))
     return out.select(
         F.col("id").alias(id_col), "held_out", F.col("n").alias("n_tokens"), (F.col("known") + F.coalesce("known2", F.lit(0))).alias("n_known"), F.lit(int(total)).cast("long").alias("train_tokens"),
         (F.col("base") + F.coalesce("base2", F.lit(0.0))).alias("base_score"), "score",

@@ -103,3 +103,21 @@ def test_nothing(spark):
     r = lm_scores(spark.createDataFrame([(held, "ab")], "doc_id long, text string")).first()
     assert (r.n_tokens, r.n_known, r.train_tokens) == (2, 0, 0) and r.score == pytest.approx(-3 * math.log10(256))
     assert Scorer(Trie(1, [(np.zeros(0, np.uint64), np.zeros(0, np.int64))] * 2, [(np.zeros(0, np.uint64), *[np.zeros(0, np.int64)] * 3)] * 2)).score(np.zeros(1, np.uint64)) == pytest.approx(-math.log10(256))
+
+
+@pytest.mark.parametrize("listed", [0, 300, 1 << 20])
+def test_whole_model(spark, monkeypatch, listed):
+    """No count is dropped where training is longer than 2 ** 20 symbols, however many grams are scored in place."""
+    from ledgerloom.llm import ppm
+
+    monkeypatch.setattr(ppm, "LISTED", listed, raising=False)
+    rows = [*corpus(), *((1000 + i, "abcdefgh " * 9000) for i in range(20))]
+    held = lambda i: zlib.crc32(("" if i is None else str(i)).encode()) % 5 == 1
+    train = [t for i, t in rows if not held(i)]
+    assert sum(len(stream(t)) for t in train) > 1 << 20
+    plain = Plain(train, 3, 60)
+    got = sorted((r.doc_id is None, r.doc_id or 0, r.n_tokens, r.score) for r in lm_scores(spark.createDataFrame(rows, "doc_id long, text string"), 3).collect())
+    want = sorted((i is None, i or 0, len(tokens(t)) + 1, plain.score(t)) for i, t in rows)
+    assert len(got) == len(want)
+    for a, b in zip(got, want):
+        assert a[:3] == b[:3] and a[3] == pytest.approx(b[3], rel=1e-9), (a, b)
