@@ -1,4 +1,4 @@
-"""Near-duplicate vectors: sorted projection passes, verified pairs, groups by components, links counted in blocks."""
+"""Near-duplicate vectors: sorted projection passes, an exact sweep between their groups, links counted in blocks."""
 
 from __future__ import annotations
 
@@ -16,6 +16,8 @@ from .common import Forest, components, durable
 PASSES, HASHES, WINDOW = 16, 4, 48
 #: Vectors of a block when links are counted.
 BLOCK = 512
+#: Vectors of a block when groups are compared, and rows of it that are multiplied at once.
+SWEEP, STRIP = 4096, 512
 
 
 def usable(column: pa.Array, kind: str) -> tuple[np.ndarray, list[bytes]]:
@@ -163,6 +165,43 @@ def _border(kind: str, window: int, least: float):
     return run
 
 
+def _between(kind: str, least: float):
+    """Links of two blocks that join groups which weren't joined; each group by its label."""
+
+    def run(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        out: list[tuple[int, int]] = []
+        if len(a) and len(b):
+            names, place = np.unique(np.concatenate([a["a_label"].to_numpy(np.int64), b["label"].to_numpy(np.int64)]), return_inverse=True)
+            mine, theirs, tree = place[: len(a)], place[len(a) :], Forest(len(names))
+            a_dim, b_dim = a["a_x"].map(len).to_numpy(), b["x"].map(len).to_numpy()
+            for dim in np.intersect1d(a_dim, b_dim):
+                rows, columns = np.flatnonzero(a_dim == dim), np.flatnonzero(b_dim == dim)
+                x, y = unit(list(a["a_x"].iloc[rows]), kind), unit(list(b["x"].iloc[columns]), kind)
+                for k in range(0, len(rows), STRIP):
+                    i, j = np.nonzero(x[k : k + STRIP] @ y.T >= least)
+                    pairs = np.stack([mine[rows[k + i]], theirs[columns[j]]], axis=1)
+                    for u, v in np.unique(pairs[pairs[:, 0] != pairs[:, 1]], axis=0):
+                        if tree.join(int(u), int(v)):
+                            out.append((int(names[u]), int(names[v])))
+        return pd.DataFrame({"a": pd.Series([u for u, _ in out], dtype="int64"), "b": pd.Series([v for _, v in out], dtype="int64")})
+
+    return run
+
+
+def _sweep(vectors: DataFrame, kind: str, least: float) -> DataFrame:
+    """Links (a, b) between labels of vectors (label, x): each pair of blocks is compared once, in full.
+
+    Equal vectors of one label are one row. The number of pairs of blocks grows with the square of the distinct vectors.
+    """
+    once = durable(vectors.select("label", "x").distinct(), "vectors-distinct")
+    n = max(1, -(-once.count() // SWEEP))
+    dealt = once.withColumn("block", F.pmod(F.xxhash64("x", "label"), F.lit(n)).cast("int"))
+    low, high = F.explode(F.sequence(F.lit(0), F.col("block"))), F.explode(F.sequence(F.col("block"), F.lit(n - 1)))
+    one = dealt.withColumn("other", high).select(F.col("block").alias("a_block"), F.col("other").alias("a_other"), F.col("label").alias("a_label"), F.col("x").alias("a_x"))
+    two = dealt.withColumn("mine", low).select("mine", "block", "label", "x")
+    return one.groupBy("a_block", "a_other").cogroup(two.groupBy("mine", "block")).applyInPandas(_between(kind, least), "a long, b long")
+
+
 def _count(kind: str, least: float):
     def run(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         ids = a["a_id"].tolist()
@@ -184,8 +223,10 @@ def near_vectors(vectors: DataFrame, least: float = 0.9, passes: int = PASSES, h
     In each pass vectors are sorted by concatenated random hashes (range partitioning by sampled splitters, then a sort)
     and compared with the next `window` neighbours, across partitions' borders too; pairs whose cosine in double
     precision is at least `least` are links, and those that join two groups are kept. Components of all passes' links
-    are groups. Links of a group are then counted among all its members in blocks of BLOCK x BLOCK, without making
-    pairs, so n_links has no cap by the window: a link is missed only if the passes left its two ends in different groups.
+    are first groups. All pairs of vectors of different first groups are then compared in blocks of about SWEEP x SWEEP,
+    so no link is missed, however dense a region is; passes only spare the sweep the links that they have found. The sweep
+    is quadratic in the distinct vectors, as all exact ways are where vectors don't cluster. Links of a group are counted
+    among all its members in blocks of BLOCK x BLOCK, without making pairs.
 
     Vectors that are null, empty, zero, or hold null or non-finite components link with nothing; so do null ids, whose
     component_id is null and which are kept. Vectors of different lengths don't link. Rows that share an id are one
@@ -200,8 +241,12 @@ def near_vectors(vectors: DataFrame, least: float = 0.9, passes: int = PASSES, h
     inside = found.where("a IS NOT NULL").select("a", "b")
     ends = found.where("border IS NOT NULL").select("border", "side", "pass", "id", "x").withColumn("key", F.monotonically_increasing_id())
     across = ends.groupBy("border", "pass").applyInPandas(_border(kind, window, least), "a long, b long")
-    groups = components(inside.unionByName(across), "vectors-groups")
-    linked = once.mapInArrow(_raw(kind), "id long, x binary").join(groups, "id")
+    near = durable(inside.unionByName(across), "vectors-near")
+    first = components(near, "vectors-first")
+    raw = once.mapInArrow(_raw(kind), "id long, x binary")
+    labelled = raw.join(first, "id", "left").select(F.coalesce("component", "id").alias("label"), "x")
+    groups = components(near.unionByName(_sweep(labelled, kind, least)), "vectors-groups")
+    linked = raw.join(groups, "id")
     size = linked.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     linked = durable(linked.join(size, "component").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")), "vectors-linked")
     every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))

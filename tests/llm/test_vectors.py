@@ -48,3 +48,13 @@ def test_all_pairs(spark, monkeypatch, block):
 
 def test_empty(spark):
     assert near_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>")).collect() == []
+
+
+def test_links_beyond_the_window(spark, monkeypatch):
+    """A pair that no pass brings within the window is linked all the same, over several blocks."""
+    monkeypatch.setattr(vectors, "SWEEP", 60, raising=False)
+    data = sorted(rows(), key=lambda r: r[0])
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in data], "vec_id long, embedding array<float>")
+    want = brute(data, 0.9)
+    for r in near_vectors(df, passes=1, window=1).collect():
+        assert (r.n_links, r.component_id) == want[r.vec_id], r
