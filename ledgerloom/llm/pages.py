@@ -159,6 +159,10 @@ def common(a: list[int], b: list[int]) -> list[int]:
     return [*range(lead), *places[::-1], *range(len(a) - tail, len(a))]
 
 
+#: Pages of which at least this share of the longer one's blocks is common are copies, which tell nothing of furniture.
+COPY = 0.8
+
+
 def _line(text: str) -> int:
     return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
 
@@ -192,8 +196,10 @@ def _neighbours(it):
 
 
 def _pair(a, b) -> list[tuple]:
-    """Rows for both pages of a pair: what they share, for either."""
+    """Rows for both pages of a pair: what they share, for either; nothing for copies."""
     x = [a[2][i] for i in common(a[2], b[2])]
+    if len(x) >= COPY * max(len(a[2]), len(b[2])):
+        return []
     return [(a[0], b[0], x, None, None, None, None, None), (b[0], a[0], x, None, None, None, None, None)] if x else []
 
 
@@ -209,7 +215,11 @@ def _border(pdf: pd.DataFrame) -> pd.DataFrame:
 
 
 def _shared(pages: DataFrame) -> DataFrame:
-    """(mark, shared): of pages (mark, host, path, lines), the lines that each shares with its neighbours by URL."""
+    """(mark, shared), mark being the hash of host and lines: of pages (mark, host, path, lines), the lines that each shares with its neighbours by URL.
+
+    Pages of a host with equal lines are one, at the first of their places, so each meets the nearest that differs.
+    """
+    pages = pages.groupBy("host", "lines").agg(F.min(F.struct("path", "mark")).alias("first")).select("host", "lines", "first.path", F.xxhash64("host", "lines").alias("mark"))
     order = pages.repartitionByRange("host", "path", "mark").sortWithinPartitions("host", "path", "mark")
     found = durable(order.mapInArrow(_neighbours, "mark long, other long, shared array<long>, border int, side int, host string, lines array<long>"), "pages-pairs")
     across = found.where("border IS NOT NULL").groupBy("border").applyInPandas(_border, "mark long, shared array<long>")
@@ -223,11 +233,13 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     Where markup names the article, its blocks are the text, without the furniture inside it. Where it doesn't, blocks
     outside of furniture are candidates: such pages are sorted by host and path, each is aligned with the pages before
     and after it on its host by a longest common subsequence of their blocks' hashes, and shared blocks are deleted.
+    Copies don't delete each other: pages of a host with equal blocks count as one page, and a pair whose common blocks
+    are at least COPY of the longer page deletes nothing, so a page keeps its furniture rather than lose its text.
     Pages are parsed once, where they are read, into a durable table; only hashes of blocks are sorted and compared, and
     only the pages whose article isn't marked meet their shared lines in a join.
 
-    Null html is empty; null urls have the empty host and path. Rows that repeat id, url and html share their shared
-    lines. A page without a neighbour keeps all its candidates. No rows in, no rows out; other columns are ignored.
+    Null html is empty; null urls have the empty host and path. Rows that repeat a page share its shared lines.
+    A page without a neighbour keeps all its candidates. No rows in, no rows out; other columns are ignored.
     """
     url = F.coalesce(F.col(url_col), F.lit(""))
     rest = F.regexp_replace(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://", "")
@@ -238,7 +250,7 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     kind = pages.schema[id_col].dataType.simpleString()
     parsed = durable(base.mapInArrow(_parsed, f"id {kind}, url string, mark long, host string, path string, blocks array<string>, lines array<long>"), "pages-parsed")
     marked, open_ = parsed.where("lines IS NULL").select("id", "url", "blocks"), parsed.where("lines IS NOT NULL")
-    pairs = _shared(open_.select("mark", "host", "path", "lines").dropDuplicates(["mark"]))
-    own = open_.join(pairs, "mark", "left").select("id", "url", F.expr("transform(filter(arrays_zip(blocks, lines), x -> shared IS NULL OR NOT array_contains(shared, x.lines)), x -> x.blocks)").alias("blocks"))
+    pairs = _shared(open_.select("mark", "host", "path", "lines"))
+    own = open_.withColumn("mark", F.xxhash64("host", "lines")).join(pairs, "mark", "left").select("id", "url", F.expr("transform(filter(arrays_zip(blocks, lines), x -> shared IS NULL OR NOT array_contains(shared, x.lines)), x -> x.blocks)").alias("blocks"))
     text = F.array_join("blocks", "\n\n")
     return marked.unionByName(own).select(F.col("id").alias(id_col), F.col("url").alias(url_col), text.alias("text"), F.length(text).cast("long").alias("n_chars"))

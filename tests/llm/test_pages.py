@@ -65,3 +65,18 @@ def test_differencing(spark):
         assert sorted((-1 if r.page_id is None else r.page_id, r.text) for r in got) == sorted(want)
         assert all(r.n_chars == len(r.text) for r in got)
     assert main_text(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
+
+
+def test_copies_keep_their_text(spark):
+    page = lambda *x: "".join(f"<p>{y}</p>" for y in x)
+    body = [f"par {k}" for k in range(9)]
+    rows = [
+        (1, "http://h.example/a", page("Top", "own one", "End")), (2, "http://h.example/a?x=1", page("Top", "own one", "End")), (3, "http://h.example/b", page("Top", "own one", "End")),
+        (4, "http://h.example/c", page("Top", "own two", "End")), (5, "http://i.example/a", page("same", "text")), (6, "http://i.example/b", page("same", "text")),
+        (7, "http://j.example/a", page(*body, "old")), (8, "http://j.example/b", page(*body, "new")),
+    ]
+    whole = "\n\n".join(body)
+    want = {1: "own one", 2: "own one", 3: "own one", 4: "own two", 5: "same\n\ntext", 6: "same\n\ntext", 7: f"{whole}\n\nold", 8: f"{whole}\n\nnew"}
+    for parts in (1, 5):
+        df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(parts)
+        assert {r.page_id: r.text for r in main_text(df).collect()} == want
