@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import re
 import tempfile
 import uuid
-from functools import reduce
+from contextlib import contextmanager
+from functools import reduce, wraps
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -15,39 +18,113 @@ SPACE = r"\x20\x09-\x0D"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where that is unset (local runs)."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where that is unset, a temporary folder of this
+    machine serves a local master; on a cluster there is no such folder, so that is an error."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if at:
         return at
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
     own = getattr(spark, "_ledgerloom_dir", None)
     if own is None:
         own = spark._ledgerloom_dir = tempfile.mkdtemp(prefix="ledgerloom-")
     return own
 
 
-def durable(df: DataFrame, name: str) -> DataFrame:
-    """df written as Parquet in the shared folder and read again: lineage ends there, and a lost executor costs nothing."""
-    path = f"{shared_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+#: Paths of the durable tables of each scratch() that is open, the innermost last.
+_open: list[list[str]] = []
+
+
+def _delete(spark: SparkSession, path: str, now: bool) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    if now:
+        files.delete(at, True)
+    else:
+        files.deleteOnExit(at)
+
+
+def durable(df: DataFrame, name: str, outlives: bool = False) -> DataFrame:
+    """df written as Parquet in the shared folder and read again: lineage ends there, and a lost executor costs nothing.
+
+    The table goes by discard(), at the end of a scratch(), unless it outlives that, or at the latest when the driver ends.
+    """
+    spark = df.sparkSession
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    _delete(spark, path, now=False)
+    if len(_open) > outlives:
+        _open[-1 - outlives].append(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.durable_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete durable tables from which nothing is read any more."""
+    for t in tables:
+        _delete(t.sparkSession, t.durable_path, now=True)
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Durable tables that are made inside, by any operator, are deleted at its end, when all that came of them is written."""
+    _open.append([])
+    try:
+        yield
+    finally:
+        for path in _open.pop():
+            _delete(spark, path, now=True)
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores before it as it takes to differ from all columns of df in any case."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+#: A key with over one in so many of the rows is hot. No more keys than that can be, which bounds what is broadcast.
+HOT = 1000
+
+
+def join_hot(left: DataFrame, right: DataFrame, keys: list[str], n: str, rows: int) -> DataFrame:
+    """left joined to right on keys. right has each key once and says in column n, which is dropped, how many rows with it
+    left has at most; `rows` bounds the sum of n. Rows of hot keys stay where they are, and right's row comes to them."""
+    hot = F.broadcast(right.where(F.col(n) > rows // HOT).drop(n))
+    return left.join(hot, keys).unionByName(left.join(hot, keys, "left_anti").join(right.where(F.col(n) <= rows // HOT).drop(n), keys))
+
+
+def _toward_low(edges: DataFrame, keyed: DataFrame, rows: int) -> DataFrame:
+    """edges (u, v) with m, the smallest of u and all v that u has in keyed."""
+    low = keyed.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+    return join_hot(edges, low.select("u", F.least("u", "m").alias("m"), "n"), ["u"], "n", rows)
 
 
 def components(edges: DataFrame, name: str = "cc", rounds: int = 60) -> DataFrame:
     """Connected components of edges (a, b): one row (id, component) for each id on an edge, component being its smallest id.
 
-    Alternating large-star and small-star contraction. Each round is two aggregations and two joins over the edges and
-    ends in a durable table, so lineage and memory stay flat; only a count and a checksum reach the driver.
+    Alternating large-star and small-star contraction. Each half of a round is one aggregation, combined before the
+    shuffle, and a join that is split for hubs; it ends in a durable table, so lineage and memory stay flat, and the one
+    before it is deleted. Only a count and a checksum reach the driver. Ids may be of any type that has an order.
     """
     e = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct()
-    e, seen = durable(e, name), None
+    state = lambda t: t.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+    e = durable(e, name)
+    seen = state(e)
     for _ in range(rounds):
+        rows = 2 * seen[0]
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("x"))
-        e = durable(small.select("x.u", "x.v").where("u <> v").distinct(), name)
-        now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        large = durable(_toward_low(both.where("v > u"), both, rows).select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct(), name)
+        pairs = F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v"))))
+        small = durable(_toward_low(large, large, rows).select(pairs.alias("x")).select("x.u", "x.v").where("u <> v").distinct(), name)
+        discard(e, large)
+        e, now = small, state(small)
         if now == seen:
             break
         seen = now
@@ -113,7 +190,47 @@ def word_hashes(b: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return h, np.searchsorted(at, start, side="right") - 1, start, end - start
 
 
-def slices(it, most_bytes: int = 8 << 20, column: str = "text"):
+def release() -> None:
+    """Give freed memory of this process back to the system, which the allocators of Arrow and of C otherwise keep."""
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+_held: dict[str, dict] = {}
+
+
+def held(owner: str) -> dict:
+    """What this process keeps for the tasks of one operator; asking for it drops what it kept for any other."""
+    for other in [k for k in _held if k != owner]:
+        del _held[other]
+    return _held.setdefault(owner, {})
+
+
+#: Bytes of an Arrow batch between Spark and Python, on both sides; Spark's default is 10,000 rows of any size.
+BATCH = 4 << 20
+
+
+def mapped(df: DataFrame, run, schema: str, keeps: str = "") -> DataFrame:
+    """df.mapInArrow(run, schema) for workers that serve tasks of further operators: batches are bounded by bytes (a setting
+    of the session), what the worker holds for any operator but `keeps` is dropped, and what run freed is given back."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH))
+
+    @wraps(run)
+    def wrapped(it):
+        held(keeps)
+        try:
+            yield from run(it)
+        finally:
+            release()
+
+    return df.mapInArrow(wrapped, schema)
+
+
+def slices(it, most_bytes: int = 4 << 20, column: str = "text"):
     """Arrow record batches of the iterator cut so that each holds about most_bytes of text, one row at least."""
     import pyarrow.compute as pc
 

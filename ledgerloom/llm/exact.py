@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACE, durable
+from .common import SPACE, durable, fresh
 
 #: Equal texts are dealt over so many places, so that a text that a third of all rows share is never one task's.
 SALTS = 64
@@ -49,9 +49,10 @@ def drop_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     A row is found again by its id and its text's SHA-256; rows that repeat both are the same in all that decides, and
     the first by their remaining columns stays.
     """
-    kept = content_sort(docs, id_col, text_col).where("kept").select(F.col(id_col).alias("__id"), F.col("text_sha256").alias("__sha"))
+    kept_id, kept_sha, own, n = fresh(docs, "kept_id", "kept_sha", "own_sha", "n")
+    kept = content_sort(docs, id_col, text_col).where("kept").select(F.col(id_col).alias(kept_id), F.col("text_sha256").alias(kept_sha))
     norm = F.regexp_replace(F.coalesce(F.col(text_col), F.lit("")), f"[{SPACE}]+", " ")
-    marked = docs.withColumn("__own", F.sha2(norm, 256))
-    stays = marked.join(kept, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__sha")), "left_semi")
-    order = Window.partitionBy(id_col, "__own").orderBy(*[F.xxhash64(c) for c in docs.columns])
-    return stays.withColumn("__n", F.row_number().over(order)).where("__n = 1").select(*docs.columns)
+    marked = docs.withColumn(own, F.sha2(norm, 256))
+    stays = marked.join(kept, F.col(id_col).eqNullSafe(F.col(kept_id)) & (F.col(own) == F.col(kept_sha)), "left_semi")
+    order = Window.partitionBy(id_col, own).orderBy(*[F.xxhash64(c) for c in docs.columns])
+    return stays.withColumn(n, F.row_number().over(order)).where(F.col(n) == 1).select(*docs.columns)

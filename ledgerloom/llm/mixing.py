@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACE, durable
+from .common import SPACE, durable, fresh
 
 #: Places that the documents of one source and length are dealt over.
 SALTS = 64
@@ -119,10 +119,11 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
 
     Rows that repeat an id in one source and size get their copies together: ranks within them are matched one by one.
     """
-    taken = mix(docs, id_col, text_col, source_col, **how).select(F.col(id_col).alias("__id"), F.col(source_col).alias("__source"), F.col("size").alias("__size"), F.col("copies").alias("__copies"))
-    taken = taken.withColumn("__k", F.row_number().over(Window.partitionBy("__id", "__source", "__size").orderBy(F.desc("__copies")))).where("__copies > 0")
+    t_id, t_source, t_size, t_copies, k, own, n, copy = fresh(docs, "t_id", "t_source", "t_size", "t_copies", "k", "own_size", "n", "copy")
+    taken = mix(docs, id_col, text_col, source_col, **how).select(F.col(id_col).alias(t_id), F.col(source_col).alias(t_source), F.col("size").alias(t_size), F.col("copies").alias(t_copies))
+    taken = taken.withColumn(k, F.row_number().over(Window.partitionBy(t_id, t_source, t_size).orderBy(F.desc(t_copies)))).where(F.col(t_copies) > 0)
     size = F.regexp_count(F.coalesce(F.col(text_col), F.lit("")), F.lit(f"[^{SPACE}]+")).cast("long")
-    own = docs.withColumn("__own", size)
-    own = own.withColumn("__n", F.row_number().over(Window.partitionBy(id_col, source_col, "__own").orderBy(F.xxhash64(text_col))))
-    both = own.join(taken, own[id_col].eqNullSafe(F.col("__id")) & own[source_col].eqNullSafe(F.col("__source")) & (F.col("__own") == F.col("__size")) & (F.col("__n") == F.col("__k")))
-    return both.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int")))).select(*docs.columns)
+    mine = docs.withColumn(own, size)
+    mine = mine.withColumn(n, F.row_number().over(Window.partitionBy(id_col, source_col, own).orderBy(F.xxhash64(text_col))))
+    both = mine.join(taken, mine[id_col].eqNullSafe(F.col(t_id)) & mine[source_col].eqNullSafe(F.col(t_source)) & (F.col(own) == F.col(t_size)) & (F.col(n) == F.col(k)))
+    return both.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(t_copies).cast("int")))).select(*docs.columns)

@@ -94,3 +94,16 @@ def test_mix(spark):
     assert out.columns == ["doc_id", "text", "source", "salt", "norm"]
     assert Counter((r.doc_id, r.source) for r in out.collect()) == sum((Counter({(r.doc_id, r.source): r.copies}) for r in got), Counter())
     assert mix(frame(spark, [])).collect() == []
+
+
+def test_clashing_names(spark):
+    """Columns of any name keep their values, those that look like an operator's own included."""
+    names = ["__id", "__own", "__n", "__k", "kept_id", "own_sha", "N", "own_size", "t_id", "_n", "copy"]
+    kinds = "doc_id long, text string, source string, " + ", ".join(f"`{n}` int" for n in names)
+    data = [(i, t, "s", *(range(5, 5 + len(names)))) for i, t in enumerate(["a b", "a  b", "c d e", None])]
+    df = spark.createDataFrame(data, kinds)
+    for got in (drop_exact(df), mixed(df)):
+        assert got.columns == df.columns
+        rows = got.collect()
+        assert rows and all(tuple(r)[3:] == tuple(range(5, 5 + len(names))) for r in rows)
+    assert sorted(r.doc_id for r in drop_exact(df).collect()) == [0, 2, 3]
