@@ -1,4 +1,4 @@
-"""Near-duplicate vectors: sorted projection passes, an exact sweep between their groups, links counted in blocks."""
+"""Near-duplicate vectors: sorted projection passes, then an exact sweep that completes and counts the links."""
 
 from __future__ import annotations
 
@@ -10,14 +10,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Forest, components, durable
+from .common import Forest, components, durable, join_hot, mapped
 
 #: Passes, hashes that are concatenated in each, and neighbours that each vector is compared with on either side.
 PASSES, HASHES, WINDOW = 16, 4, 48
-#: Vectors of a block when links are counted.
-BLOCK = 512
-#: Vectors of a block when groups are compared, and rows of it that are multiplied at once.
-SWEEP, STRIP = 4096, 512
+#: Vectors of a block of the sweep: a SHARE of all within these bounds. A vector is shuffled once for each block.
+BLOCK, SHARE = (4096, 32768), 16
+#: Rows that are multiplied at once.
+STRIP = 512
+#: Products in single precision are this near to those in double precision; nearer ones to the threshold are computed again.
+SLACK = 1e-4
 
 
 def usable(column: pa.Array, kind: str) -> tuple[np.ndarray, list[bytes]]:
@@ -60,64 +62,73 @@ def keys(x: np.ndarray, passes: int, hashes: int, seed: int = 31) -> np.ndarray:
     return out
 
 
-def _spanning(ids: np.ndarray, x: np.ndarray, window: int, least: float, only_across: int | None = None) -> list[tuple[int, int]]:
+def _hits(x: np.ndarray, y: np.ndarray, least: float) -> np.ndarray:
+    """Boolean (x rows by y rows): cosine in double precision >= least. Single precision decides what isn't close."""
+    near = x.astype(np.float32) @ y.astype(np.float32).T
+    hit = near >= least
+    i, j = np.nonzero(np.abs(near - np.float32(least)) <= SLACK)
+    if len(i):
+        hit[i, j] = np.einsum("ij,ij->i", x[i], y[j]) >= least
+    return hit
+
+
+def _spanning(ids: list, x: np.ndarray, window: int, least: float, only_across: int | None = None) -> list[tuple]:
     """Verified pairs within the window of a sorted run that join what wasn't joined; with only_across, pairs over that place."""
     tree, out = Forest(len(ids)), []
-    for i in range(1, len(ids)):
-        a = max(0, i - window)
-        if only_across is not None and (i < only_across or a >= only_across):
-            continue
-        end = i if only_across is None else only_across
-        for j in np.flatnonzero(x[a:end] @ x[i] >= least)[::-1] + a:
-            if tree.join(int(j), i):
-                out.append((int(ids[j]), int(ids[i])))
+    for begin in range(0, len(ids), STRIP):
+        low, end = max(0, begin - window), min(len(ids), begin + STRIP)
+        i, j = np.nonzero(_hits(x[begin:end], x[low:end], least))
+        i, j = i + begin, j + low
+        near = (j < i) & (i - j <= window)
+        if only_across is not None:
+            near &= (j < only_across) & (i >= only_across)
+        for u, v in zip(j[near].tolist(), i[near].tolist()):
+            if tree.join(u, v):
+                out.append((ids[u], ids[v]))
     return out
 
 
 def _passes(kind: str, passes: int, hashes: int):
     def run(it):
         for batch in it:
-            good, raw = usable(batch.column("vector"), kind)
-            ids = batch.column("id").to_pylist()
-            by_size: dict[int, list[int]] = {}
-            for k, v in enumerate(raw):
-                by_size.setdefault(len(v), []).append(k)
-            for size, ks in by_size.items():
+            raw, ids = batch.column("x").to_pylist(), batch.column("id")
+            size = np.array([len(v) for v in raw])
+            for n in np.unique(size):
+                ks = np.flatnonzero(size == n)
                 own = [raw[k] for k in ks]
                 found = keys(unit(own, kind), passes, hashes)
-                ours = pa.array([ids[good[k]] for k in ks], pa.int64())
                 for p in range(passes):
-                    head = np.array([size, p], dtype=">u4").tobytes()
-                    yield pa.RecordBatch.from_arrays([pa.array([head + x.tobytes() for x in found[p]], pa.binary()), ours, pa.array(own, pa.binary())], ["key", "id", "x"])
+                    head = np.array([n, p], dtype=">u4").tobytes()
+                    yield pa.RecordBatch.from_arrays([pa.array([head + x.tobytes() for x in found[p]], pa.binary()), ids.take(pa.array(ks)), pa.array(own, pa.binary())], ["key", "id", "x"])
 
     return run
 
 
 def _windows(kind: str, window: int, least: float):
-    """Links inside a sorted partition; and each run's first and last rows, as the next partition may go on with its pass."""
+    """For rows (key, id, x), sorted: links inside the partition, and each run's first and last rows, as the next partition may go on with its pass."""
 
     def run(it):
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
         head: bytes | None = None
-        keep_ids: list[int] = []
+        keep_ids: list = []
         keep_x: list[bytes] = []
-        edges: list[tuple[int, int]] = []
-        ends: list[tuple[int, int, bytes, int, bytes]] = []  # boundary, side, pass, id, vector
-        first = True
+        edges: list[tuple] = []
+        ends: list[tuple] = []  # boundary, side, pass, id, vector
+        first, of_id = True, None
 
         def out():
             nonlocal edges, ends
             n, m = len(edges), len(ends)
             b = pa.RecordBatch.from_pydict(
                 {
-                    "a": pa.array([x for x, _ in edges] + [None] * m, pa.int64()),
-                    "b": pa.array([y for _, y in edges] + [None] * m, pa.int64()),
+                    "a": pa.array([x for x, _ in edges] + [None] * m, of_id),
+                    "b": pa.array([y for _, y in edges] + [None] * m, of_id),
                     "border": pa.array([None] * n + [e[0] for e in ends], pa.int32()),
                     "side": pa.array([None] * n + [e[1] for e in ends], pa.int32()),
                     "pass": pa.array([None] * n + [e[2] for e in ends], pa.binary()),
-                    "id": pa.array([None] * n + [e[3] for e in ends], pa.int64()),
+                    "id": pa.array([None] * n + [e[3] for e in ends], of_id),
                     "x": pa.array([None] * n + [e[4] for e in ends], pa.binary()),
                 }
             )
@@ -126,6 +137,7 @@ def _windows(kind: str, window: int, least: float):
 
         led = 0  # rows that went to the boundary before this partition
         for batch in it:
+            of_id = batch.column("id").type
             k, ids, xs = (batch.column(c).to_pylist() for c in ("key", "id", "x"))
             begin = 0
             while begin < len(k):
@@ -142,123 +154,125 @@ def _windows(kind: str, window: int, least: float):
                         ends.append((part, 1, h, ids[q], xs[q]))
                     led += min(end - begin, window - led)
                 run_ids, run_x = keep_ids + ids[begin:end], keep_x + xs[begin:end]
-                edges += _spanning(np.array(run_ids), unit(run_x, kind), window, least)
+                edges += _spanning(run_ids, unit(run_x, kind), window, least)
                 keep_ids, keep_x = run_ids[-window:], run_x[-window:]
                 begin = end
             yield out()
         for i, v in zip(keep_ids, keep_x):
             ends.append((part + 1, 0, head, i, v))
-        yield out()
+        if of_id is not None:
+            yield out()
 
     return run
 
 
+def _pairs(rows: list[tuple]) -> pd.DataFrame:
+    return pd.DataFrame({"a": pd.Series([a for a, _ in rows], dtype=object), "b": pd.Series([b for _, b in rows], dtype=object)})
+
+
 def _border(kind: str, window: int, least: float):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        edges: list[tuple[int, int]] = []
         before, after = pdf[pdf["side"] == 0].sort_values("key"), pdf[pdf["side"] == 1].sort_values("key")
-        if len(before) and len(after):
-            x = unit([*before["x"], *after["x"]], kind)
-            edges = _spanning(np.concatenate([before["id"], after["id"]]).astype(np.int64), x, window, least, only_across=len(before))
-        return pd.DataFrame({"a": pd.Series([a for a, _ in edges], dtype="int64"), "b": pd.Series([b for _, b in edges], dtype="int64")})
+        if not len(before) or not len(after):
+            return _pairs([])
+        x = unit([*before["x"], *after["x"]], kind)
+        return _pairs(_spanning([*before["id"], *after["id"]], x, window, least, only_across=len(before)))
 
     return run
 
 
-def _between(kind: str, least: float):
-    """Links of two blocks that join groups which weren't joined; each group by its label."""
-
-    def run(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        out: list[tuple[int, int]] = []
-        if len(a) and len(b):
-            names, place = np.unique(np.concatenate([a["a_label"].to_numpy(np.int64), b["label"].to_numpy(np.int64)]), return_inverse=True)
-            mine, theirs, tree = place[: len(a)], place[len(a) :], Forest(len(names))
-            a_dim, b_dim = a["a_x"].map(len).to_numpy(), b["x"].map(len).to_numpy()
-            for dim in np.intersect1d(a_dim, b_dim):
-                rows, columns = np.flatnonzero(a_dim == dim), np.flatnonzero(b_dim == dim)
-                x, y = unit(list(a["a_x"].iloc[rows]), kind), unit(list(b["x"].iloc[columns]), kind)
-                for k in range(0, len(rows), STRIP):
-                    i, j = np.nonzero(x[k : k + STRIP] @ y.T >= least)
-                    pairs = np.stack([mine[rows[k + i]], theirs[columns[j]]], axis=1)
-                    for u, v in np.unique(pairs[pairs[:, 0] != pairs[:, 1]], axis=0):
-                        if tree.join(int(u), int(v)):
-                            out.append((int(names[u]), int(names[v])))
-        return pd.DataFrame({"a": pd.Series([u for u, _ in out], dtype="int64"), "b": pd.Series([v for _, v in out], dtype="int64")})
+def _tile(kind: str, least: float):
+    """For two blocks (id, label, w, x): links (a, b) that join labels which weren't joined, and for each id (a) the n
+    vectors of the other block that it links with, itself left out."""
+
+    def run(key, p: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
+        p = p.rename(columns=lambda c: c.removeprefix("p_"))
+        if not len(p) or not len(q):
+            return pd.DataFrame({"a": [], "b": [], "n": []})
+        same = key[0] == key[1]
+        labels = pd.factorize(pd.concat([p["label"], q["label"]], ignore_index=True))[0]
+        mine, theirs, tree, edges = labels[: len(p)], labels[len(p) :], Forest(int(labels.max()) + 1), []
+        p_id, q_id = p["id"].tolist(), q["id"].tolist()
+        wp, wq, np_, nq = p["w"].to_numpy(np.int64), q["w"].to_numpy(np.int64), np.zeros(len(p), np.int64), np.zeros(len(q), np.int64)
+        p_size, q_size = p["x"].map(len).to_numpy(), q["x"].map(len).to_numpy()
+        for size in np.intersect1d(p_size, q_size):
+            rows, columns = np.flatnonzero(p_size == size), np.flatnonzero(q_size == size)
+            x, y = unit(list(p["x"].iloc[rows]), kind), unit(list(q["x"].iloc[columns]), kind)
+            for k in range(0, len(rows), STRIP):
+                own = rows[k : k + STRIP]
+                hit = _hits(x[k : k + STRIP], y, least)
+                i, j = np.nonzero(hit)
+                np_[own] += np.bincount(i, weights=wq[columns[j]], minlength=len(own)).astype(np.int64)
+                if not same:
+                    nq[columns] += np.bincount(j, weights=wp[own[i]], minlength=len(columns)).astype(np.int64)
+                i, j = own[i], columns[j]
+                new = np.flatnonzero(mine[i] != theirs[j])
+                once = np.unique(mine[i[new]].astype(np.int64) * len(labels) + theirs[j[new]], return_index=True)[1]
+                for u, v in zip(i[new[once]].tolist(), j[new[once]].tolist()):
+                    if tree.join(int(mine[u]), int(theirs[v])):
+                        edges.append((p_id[u], q_id[v]))
+        if same:
+            np_ -= 1
+        some, more = np.flatnonzero(np_), np.flatnonzero(nq)
+        counted = [(p_id[k], int(np_[k])) for k in some] + [(q_id[k], int(nq[k])) for k in more]
+        none = [None] * len(edges)
+        columns = {"a": [a for a, _ in edges] + [i for i, _ in counted], "b": [b for _, b in edges] + [None] * len(counted), "n": none + [n for _, n in counted]}
+        return pd.DataFrame({k: pd.Series(v, dtype=object) for k, v in columns.items()})
 
     return run
 
 
-def _sweep(vectors: DataFrame, kind: str, least: float) -> DataFrame:
-    """Links (a, b) between labels of vectors (label, x): each pair of blocks is compared once, in full.
-
-    Equal vectors of one label are one row. The number of pairs of blocks grows with the square of the distinct vectors.
-    """
-    once = durable(vectors.select("label", "x").distinct(), "vectors-distinct")
-    n = max(1, -(-once.count() // SWEEP))
-    dealt = once.withColumn("block", F.pmod(F.xxhash64("x", "label"), F.lit(n)).cast("int"))
-    low, high = F.explode(F.sequence(F.lit(0), F.col("block"))), F.explode(F.sequence(F.col("block"), F.lit(n - 1)))
-    one = dealt.withColumn("other", high).select(F.col("block").alias("a_block"), F.col("other").alias("a_other"), F.col("label").alias("a_label"), F.col("x").alias("a_x"))
-    two = dealt.withColumn("mine", low).select("mine", "block", "label", "x")
-    return one.groupBy("a_block", "a_other").cogroup(two.groupBy("mine", "block")).applyInPandas(_between(kind, least), "a long, b long")
-
-
-def _count(kind: str, least: float):
-    def run(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        ids = a["a_id"].tolist()
-        n = np.zeros(len(a), dtype=np.int64)
-        dims = a["a_x"].map(len).to_numpy() if len(a) else np.zeros(0)
-        for dim in np.unique(dims):
-            mine, theirs = np.flatnonzero(dims == dim), np.flatnonzero(b["x"].map(len).to_numpy() == dim) if len(b) else []
-            if len(theirs):
-                x, y = unit(list(a["a_x"].iloc[mine]), kind), unit(list(b["x"].iloc[theirs]), kind)
-                n[mine] = (x @ y.T >= least).sum(axis=1)
-        return pd.DataFrame({"id": pd.Series(ids, dtype="int64"), "n": n})
-
-    return run
+def _sweep(vectors: DataFrame, kind: str, id_kind: str, least: float) -> DataFrame:
+    """Links (a, b) and counts (a, n), as _tile gives them, of all pairs of blocks of vectors (id, label, w, x); each pair of
+    blocks meets once. Vectors are dealt to blocks by a hash, so blocks are even whatever the vectors are."""
+    n = vectors.count()
+    blocks = max(1, -(-n // min(max(n // SHARE, BLOCK[0]), BLOCK[1])))
+    dealt = vectors.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
+    p = dealt.withColumn("other", F.explode(F.sequence(F.col("block"), F.lit(blocks - 1)))).select(*[F.col(c).alias(f"p_{c}") for c in ("block", "other", "id", "label", "w", "x")])
+    q = dealt.withColumn("mine", F.explode(F.sequence(F.lit(0), F.col("block")))).select("mine", "block", "id", "label", "w", "x")
+    return p.groupBy("p_block", "p_other").cogroup(q.groupBy("mine", "block")).applyInPandas(_tile(kind, least), f"a {id_kind}, b {id_kind}, n long")
 
 
 def near_vectors(vectors: DataFrame, least: float = 0.9, passes: int = PASSES, hashes: int = HASHES, window: int = WINDOW, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """One row for each row of vectors: id, n_links, component_id (smallest id reachable by links), kept (id = component_id).
 
-    In each pass vectors are sorted by concatenated random hashes (range partitioning by sampled splitters, then a sort)
-    and compared with the next `window` neighbours, across partitions' borders too; pairs whose cosine in double
-    precision is at least `least` are links, and those that join two groups are kept. Components of all passes' links
-    are first groups. All pairs of vectors of different first groups are then compared in blocks of about SWEEP x SWEEP,
-    so no link is missed, however dense a region is; passes only spare the sweep the links that they have found. The sweep
-    is quadratic in the distinct vectors, as all exact ways are where vectors don't cluster. Links of a group are counted
-    among all its members in blocks of BLOCK x BLOCK, without making pairs.
+    Equal vectors are one class, with a weight, from the start. In each pass classes are sorted by concatenated random
+    hashes (range partitioning by sampled splitters, then a sort) and compared with the next `window` neighbours, across
+    partitions' borders too; pairs whose cosine in double precision is at least `least` are links, and those that join
+    two groups are kept. Components of all passes' links are first groups. A window misses links in dense regions, so
+    all pairs of classes are then compared in blocks: links between different first groups are added, and every class's
+    links are counted there by weight. The result is exact. The sweep is quadratic in the distinct vectors, as exact ways are
+    where vectors don't cluster, but makes no pairs: a vector is shuffled once for each block of up to BLOCK[1].
 
     Vectors that are null, empty, zero, or hold null or non-finite components link with nothing; so do null ids, whose
     component_id is null and which are kept. Vectors of different lengths don't link. Rows that share an id are one
-    node, compared by their first vector. No rows in, no rows out; other columns are ignored.
+    node, compared by their smallest vector. Ids may be of any type that has an order. No rows in, no rows out; other
+    columns are ignored.
     """
     kind = "<f4" if vectors.schema[vector_col].dataType.simpleString() == "array<float>" else "<f8"
-    base = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast(f"array<{'float' if kind == '<f4' else 'double'}>").alias("vector"))
+    id_kind = vectors.schema[id_col].dataType.simpleString()
+    base = vectors.select(F.col(id_col).alias("id"), F.col(vector_col).cast(f"array<{'float' if kind == '<f4' else 'double'}>").alias("vector"))
     once = base.where("id IS NOT NULL").groupBy("id").agg(F.min("vector").alias("vector"))
-    keyed = once.mapInArrow(_passes(kind, passes, hashes), "key binary, id long, x binary")
+    raw = durable(once.transform(mapped, _raw(kind), f"id {id_kind}, x binary").withColumn("class", F.sha2("x", 256)), "vectors-raw")
+    classes = raw.groupBy("class").agg(F.min("id").alias("rep"), F.count("*").alias("w"))
+    of_id = durable(join_hot(raw, classes.select("class", "rep", "w", F.col("w").alias("n")), ["class"], "n", raw.count()), "vectors-classes")
+    reps = of_id.where("id = rep").select("id", "w", "x")
+    keyed = reps.select("id", "x").transform(mapped, _passes(kind, passes, hashes), f"key binary, id {id_kind}, x binary")
     ordered = keyed.repartitionByRange("key", "id").sortWithinPartitions("key", "id")
-    found = durable(ordered.mapInArrow(_windows(kind, window, least), "a long, b long, border int, side int, pass binary, id long, x binary"), "vectors-windows")
+    found = durable(ordered.transform(mapped, _windows(kind, window, least), f"a {id_kind}, b {id_kind}, border int, side int, pass binary, id {id_kind}, x binary"), "vectors-windows")
     inside = found.where("a IS NOT NULL").select("a", "b")
     ends = found.where("border IS NOT NULL").select("border", "side", "pass", "id", "x").withColumn("key", F.monotonically_increasing_id())
-    across = ends.groupBy("border", "pass").applyInPandas(_border(kind, window, least), "a long, b long")
+    across = ends.groupBy("border", "pass").applyInPandas(_border(kind, window, least), f"a {id_kind}, b {id_kind}")
     near = durable(inside.unionByName(across), "vectors-near")
     first = components(near, "vectors-first")
-    raw = once.mapInArrow(_raw(kind), "id long, x binary")
-    labelled = raw.join(first, "id", "left").select(F.coalesce("component", "id").alias("label"), "x")
-    groups = components(near.unionByName(_sweep(labelled, kind, least)), "vectors-groups")
-    linked = raw.join(groups, "id")
-    size = linked.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    linked = durable(linked.join(size, "component").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")), "vectors-linked")
-    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    one = linked.withColumn("other", every).select(F.col("component").alias("a_component"), F.col("block").alias("a_block"), F.col("other").alias("a_other"), F.col("id").alias("a_id"), F.col("x").alias("a_x"))
-    two = linked.withColumn("mine", every).select("component", "mine", "block", "x")
-    single = linked.where("blocks = 1").select("component", "id", "x").repartition("component").sortWithinPartitions("component", "id").mapInArrow(_count_small(kind, least), "id long, n long")
-    several = one.join(size.where("blocks > 1").select(F.col("component").alias("a_component")), "a_component", "left_semi").groupBy("a_component", "a_block", "a_other")
-    counted = several.cogroup(two.join(size.where("blocks > 1").select("component"), "component", "left_semi").groupBy("component", "mine", "block")).applyInPandas(_count(kind, least), "id long, n long")
-    n = single.unionByName(counted).groupBy("id").agg((F.sum("n") - 1).alias("n_links"))
-    nodes = groups.join(n, "id", "left").select("id", "component", "n_links")
+    labelled = reps.join(first, "id", "left").select("id", F.coalesce("component", "id").alias("label"), "w", "x")
+    swept = durable(_sweep(durable(labelled, "vectors-labelled"), kind, id_kind, least), "vectors-sweep")
+    groups = components(near.unionByName(swept.where("b IS NOT NULL").select("a", "b")), "vectors-groups")
+    counts = swept.where("b IS NULL").groupBy(F.col("a").alias("id")).agg(F.sum("n").alias("links"))
+    told = reps.select("id", "w").join(groups, "id", "left").join(counts, "id", "left").select(F.col("id").alias("rep"), F.coalesce("component", "id").alias("component"), "links", F.col("w").alias("n"))
+    nodes = join_hot(of_id.select("id", "rep"), told, ["rep"], "n", raw.count()).select("id", "component", "links")
     out = base.select("id").join(nodes, "id", "left")
-    out = out.select(F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component", "id").alias("component_id"))
+    out = out.select(F.col("id").alias(id_col), F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component", "id").alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col(id_col) == F.col("component_id"), F.lit(True)))
 
 
@@ -269,29 +283,3 @@ def _raw(kind: str):
             yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(good, pa.int64())), pa.array(raw, pa.binary())], ["id", "x"])
 
     return run
-
-
-def _count_small(kind: str, least: float):
-    def run(it):
-        def done():
-            if len({len(v) for v in xs}) > 1:
-                return np.array([sum(len(w) == len(v) and (unit([v], kind) @ unit([w], kind).T)[0, 0] >= least for w in xs) for v in xs])
-            x = unit(xs, kind)
-            return (x @ x.T >= least).sum(axis=1)
-
-        component, ids, xs, out = None, [], [], ([], [])
-        for batch in it:
-            for c, i, v in zip(*(batch.column(k).to_pylist() for k in ("component", "id", "x"))):
-                if c != component:
-                    if ids:
-                        out[0].extend(ids)
-                        out[1].extend(done())
-                    component, ids, xs = c, [], []
-                ids.append(i)
-                xs.append(v)
-            yield pa.RecordBatch.from_pydict({"id": pa.array(out[0], pa.int64()), "n": pa.array(np.array(out[1], dtype=np.int64))})
-            out = ([], [])
-        if ids:
-            yield pa.RecordBatch.from_pydict({"id": pa.array(ids, pa.int64()), "n": pa.array(done().astype(np.int64))})
-
-    return run
