@@ -61,3 +61,41 @@ def test_drop_near_and_empty(spark):
     want = {x[3] if not x[0] else None for x in brute(rows, 5, 80)}
     assert left.columns == df.columns and {r.doc_id for r in left.collect()} == want
     assert near_groups(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_text_ids(spark):
+    rows = [(None if i is None else f"d{i:05d}", t) for i, t in corpus(60)]
+    got = near_groups(spark.createDataFrame(rows, "doc_id string, text string")).collect()
+    number = {i: k for k, i in enumerate(sorted({i for i, _ in rows if i}))}
+    want = brute([(number.get(i), t) for i, t in rows], 5, 80)
+    assert sorted((r.doc_id is None, number.get(r.doc_id, 0), r.n_shingles, -1 if r.doc_id is None else number[r.component_id]) for r in got) == want
+
+
+def test_clashing_names(spark):
+    df = spark.createDataFrame([(1, "a b c", 4, 5, 6), (2, "a b c", 7, 8, 9)], "doc_id long, text string, gone_id int, __id int, id int")
+    assert [tuple(r) for r in drop_near(df).collect()] == [(1, "a b c", 4, 5, 6)]
+
+
+def test_recall_on_the_table(spark):
+    """Every twentieth document of sf0.1 against all: of the linked pairs, at least 0.9 must be in one group (all are, when written)."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text").collect()
+    sets = {}
+    for r in docs:
+        w = re.findall("[^\x20\x09-\x0d]+", re.sub("[A-Z]", lambda m: m[0].lower(), r.text or ""))
+        sets[r.doc_id] = {hash(tuple(w[j : j + 3])) for j in range(len(w) - 2)} or ({hash(tuple(w))} if w else set())
+    at = {}
+    for i, s in sets.items():
+        for x in s:
+            at.setdefault(x, []).append(i)
+    pairs = []
+    for q in sets:
+        if q % 20 == 0:
+            both = {}
+            for x in sets[q]:
+                for i in at[x]:
+                    both[i] = both.get(i, 0) + 1
+            pairs += [(q, i) for i, n in both.items() if i != q and 100 * n >= 85 * (len(sets[q]) + len(sets[i]) - n)]
+    group = {r.doc_id: r.component_id for r in near_groups(spark.read.parquet("/root/testdata/sf0.1/documents.parquet"), 3, 85).collect()}
+    found = sum(group[a] == group[b] for a, b in pairs)
+    print("recall", found, "of", len(pairs))
+    assert pairs and found >= 0.9 * len(pairs)
