@@ -10,7 +10,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm.common import durable
+from ledgerloom.llm.common import discard, durable, scratch
 from ledgerloom.llm.exact import drop_exact
 from ledgerloom.llm.minmax import drop_near
 from ledgerloom.llm.mixing import mixed
@@ -43,7 +43,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), []
     for name, stage in STAGES[:-1]:
-        docs = durable(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with scratch(spark):
+            docs = durable(stage(spark, docs, sf_dir), f"pipeline-{name}", outlives=True)
+        discard(*before)
+        before = [docs]
     return STAGES[-1][1](spark, docs, sf_dir)
