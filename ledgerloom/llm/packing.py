@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import durable, slices
-from .tokens import encoded, units
+from .common import durable, mapped, slices
+from .tokens import KEEPS, encoded, units
 
 #: Places that the pieces of one length are dealt over.
 SALTS = 64
@@ -86,7 +86,7 @@ def pieces(docs: DataFrame, path: str, end_id: int = 2, capacity: int = 1024, ra
                 [batch.column("id").take(pa.array(where, pa.int64())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())], ["id", "piece", "start", "length", "ids_crc32"]
             )
 
-    return docs.selectExpr(f"`{id_col}` AS id", f"`{text_col}` AS text").mapInArrow(run, f"id {kind}, piece int, start long, length long, ids_crc32 long")
+    return docs.selectExpr(f"`{id_col}` AS id", f"`{text_col}` AS text").transform(mapped, run, f"id {kind}, piece int, start long, length long, ids_crc32 long", KEEPS)
 
 
 _PLAN = T.StructType([T.StructField(x, T.LongType(), False) for x in ("p_length", "p_rank", "p_n", "p_sequence", "offset")])

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable, slices
+from .common import durable, mapped, slices
 
 #: Elements whose content is never text, and those that are page furniture wherever they stand.
 _SKIP = {"script", "style", "noscript", "template", "svg", "math", "iframe", "object", "canvas", "audio", "video", "select", "textarea", "head"}
@@ -221,7 +221,7 @@ def _shared(pages: DataFrame) -> DataFrame:
     """
     pages = pages.groupBy("host", "lines").agg(F.min(F.struct("path", "mark")).alias("first")).select("host", "lines", "first.path", F.xxhash64("host", "lines").alias("mark"))
     order = pages.repartitionByRange("host", "path", "mark").sortWithinPartitions("host", "path", "mark")
-    found = durable(order.mapInArrow(_neighbours, "mark long, other long, shared array<long>, border int, side int, host string, lines array<long>"), "pages-pairs")
+    found = durable(order.transform(mapped, _neighbours, "mark long, other long, shared array<long>, border int, side int, host string, lines array<long>"), "pages-pairs")
     across = found.where("border IS NOT NULL").groupBy("border").applyInPandas(_border, "mark long, shared array<long>")
     every = found.where("border IS NULL").select("mark", "shared").unionByName(across)
     return every.groupBy("mark").agg(F.array_distinct(F.flatten(F.collect_list("shared"))).alias("shared"))
@@ -248,7 +248,7 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
         F.lower(F.regexp_extract(rest, r"^[^/?#]*", 0)).alias("host"), F.regexp_extract(rest, r"^[^/?#]*([^?#]*)", 1).alias("path"),
     )
     kind = pages.schema[id_col].dataType.simpleString()
-    parsed = durable(base.mapInArrow(_parsed, f"id {kind}, url string, mark long, host string, path string, blocks array<string>, lines array<long>"), "pages-parsed")
+    parsed = durable(base.transform(mapped, _parsed, f"id {kind}, url string, mark long, host string, path string, blocks array<string>, lines array<long>"), "pages-parsed")
     marked, open_ = parsed.where("lines IS NULL").select("id", "url", "blocks"), parsed.where("lines IS NOT NULL")
     pairs = _shared(open_.select("mark", "host", "path", "lines"))
     own = open_.withColumn("mark", F.xxhash64("host", "lines")).join(pairs, "mark", "left").select("id", "url", F.expr("transform(filter(arrays_zip(blocks, lines), x -> shared IS NULL OR NOT array_contains(shared, x.lines)), x -> x.blocks)").alias("blocks"))

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import _IS_SPACE, _LOWER, durable, joined, slices, word_hashes
+from .common import _IS_SPACE, _LOWER, durable, held, joined, mapped, slices, word_hashes
 
 #: Bytes of context at most.
 ORDER = 5
@@ -197,7 +197,8 @@ class Listed:
         return out, hit
 
 
-_cached: dict[str, tuple] = {}
+#: Under what name workers hold the frequent grams and words between tasks.
+KEEPS = "ppm"
 
 
 def _merge(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -253,10 +254,11 @@ def _scores(order: int, trie, words, name: str, constants: tuple[float, ...]):
     def run(it):
         from pyspark import TaskContext
 
-        if name not in _cached:
-            _cached.clear()
-            _cached[name] = (trie.value.ready(), Table(words.value[0]), words.value[1])
-        scorer, frequent, counts = _cached[name]
+        cached = held(KEEPS)
+        if name not in cached:
+            cached.clear()
+            cached[name] = (trie.value.ready(), Table(words.value[0]), words.value[1])
+        scorer, frequent, counts = cached[name]
         row = TaskContext.get().partitionId() << 36
         for batch in slices(it, SLICE // 4):  # of which each byte may give a row
             texts = batch.column("text").to_pylist()
@@ -390,7 +392,7 @@ def lm_scores(docs: DataFrame, order: int = ORDER, nodes: int | None = None, wor
     """
     out_of = F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % folds == held_out
     base = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), out_of.alias("held_out"))
-    counts = base.where("NOT held_out").select("text").mapInArrow(_counts(order), "kind int, key long, n long")
+    counts = base.where("NOT held_out").select("text").transform(mapped, _counts(order), "kind int, key long, n long")
     counts = durable(counts.groupBy("kind", "key").agg(F.sum("n").alias("n")), "ppm-counts")
     spark = docs.sparkSession
     if nodes is None:
@@ -414,7 +416,7 @@ def lm_scores(docs: DataFrame, order: int = ORDER, nodes: int | None = None, wor
     constants = (float(np.log10((ends + 0.5) / denominator)), float(ends > 0), float(denominator))
     kind = docs.schema[id_col].dataType.simpleString()
     name = f"{sc.applicationId}-{shared._jbroadcast.id() if hasattr(shared, '_jbroadcast') else id(shared)}"
-    found = base.mapInArrow(_scores(order, shared, listed, name, constants), f"kind int, row long, key long, n long, id {kind}, held_out boolean, known long, base double, score double")
+    found = base.transform(mapped, _scores(order, shared, listed, name, constants), f"kind int, row long, key long, n long, id {kind}, held_out boolean, known long, base double, score double", KEEPS)
     found = durable(found, "ppm-scores")
     rare = counts.where((F.col("kind") == 1) & (F.col("n") < least)).select("key", F.col("n").alias("c"))
     missing = found.where("kind = 1").select("row", "key", "n").join(rare, "key", "left")

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable, mix64, slices, union_all
+from .common import durable, mapped, mix64, slices, union_all
 
 #: Bytes of segments that are sorted at once; those of one key that have more are compared by hashes of their windows.
 SORTED, WIDE = 4 << 20, 32 << 20
@@ -77,7 +77,7 @@ def _anchors(span: int):
     """(key, row, n): how many grams of a row are the smallest of a window."""
 
     def run(it):
-        for batch in slices(it, 4 << 20):
+        for batch in slices(it, 2 << 20):
             rows, texts = batch.column("r1").to_numpy(), [(t or "").encode() for t in batch.column("text").to_pylist()]
             _, at, h, key, ok = window_keys(texts, span)
             width = span - gram(span) + 1
@@ -99,7 +99,7 @@ def _segments(span: int, content: bool):
 
     def run(it):
         seen: set[bytes] = set()
-        for batch in slices(it, 4 << 20):
+        for batch in slices(it, 2 << 20):
             r1, r2 = batch.column("r1").to_numpy(), batch.column("r2").to_numpy()
             texts = [(t or "").encode() for t in batch.column("text").to_pylist()]
             b, at, _, key, ok = window_keys(texts, span)
@@ -325,30 +325,30 @@ def remove_repeats(docs: DataFrame, span: int = 200, id_col: str = "doc_id", tex
     text = F.coalesce(F.col(text_col), F.lit(""))
     base = docs.select(F.col(id_col).alias("id"), text.alias("text"), F.xxhash64(F.col(id_col), text).alias("r1"), F.xxhash64(F.lit(7), text, F.col(id_col)).alias("r2"))
     long = base.where(F.octet_length("text") >= span)
-    anchors = durable(long.select("r1", "text").mapInArrow(_anchors(span), "key long, r1 long, n long"), "repeats-anchors")
+    anchors = durable(long.select("r1", "text").transform(mapped, _anchors(span), "key long, r1 long, n long"), "repeats-anchors")
     keys = anchors.groupBy("key").agg(F.sum("n").alias("all")).where("all > 1").select("key")
     lists = anchors.join(keys, "key").groupBy("r1").agg(F.collect_set("key").alias("keys"))
     chosen = durable(long.select("r1", "r2", "text").join(lists, "r1"), "repeats-texts")
-    cut = chosen.mapInArrow(_segments(span, True), "key long, mark binary, content binary, n long")
+    cut = chosen.transform(mapped, _segments(span, True), "key long, mark binary, content binary, n long")
     distinct = cut.groupBy("key", "mark").agg(F.sum("n").alias("n"), F.max("content").alias("content"))
     distinct = durable(distinct.where(F.octet_length("content") >= span), "repeats-segments")
     wide = distinct.groupBy("key").agg(F.sum(F.octet_length("content")).alias("bytes")).where(F.col("bytes") > WIDE).select("key")
     wide = durable(wide, "repeats-wide")
     some = not wide.isEmpty()
     plain = distinct.join(wide, "key", "left_anti") if some else distinct
-    verdicts = [plain.repartition("key").sortWithinPartitions("key").select("key", "mark", "content", "n").mapInArrow(_sorted(span), _VERDICT)]
+    verdicts = [plain.repartition("key").sortWithinPartitions("key").select("key", "mark", "content", "n").transform(mapped, _sorted(span), _VERDICT)]
     if some:
         big = distinct.join(wide, "key", "left_semi")
         verdicts.append(big.where("n > 1").select("mark", F.array(F.lit(0)).alias("starts"), F.array(F.octet_length("content") - span + 1).alias("ends")))
-        windows = durable(big.select("mark", "content").mapInArrow(_window_hashes(span), "mark binary, start int, window binary"), "repeats-windows")
+        windows = durable(big.select("mark", "content").transform(mapped, _window_hashes(span), "mark binary, start int, window binary"), "repeats-windows")
         twice = windows.groupBy("window").agg(F.count("*").alias("n")).where("n > 1").select("window")
-        verdicts.append(windows.join(twice, "window").groupBy("mark").agg(F.collect_list("start").alias("places")).mapInArrow(_ranges_of, _VERDICT))
+        verdicts.append(windows.join(twice, "window").groupBy("mark").agg(F.collect_list("start").alias("places")).transform(mapped, _ranges_of, _VERDICT))
     verdict = durable(union_all(verdicts), "repeats-verdicts")
-    places = chosen.mapInArrow(_segments(span, False), "key long, mark binary, r1 long, r2 long, at long")
+    places = chosen.transform(mapped, _segments(span, False), "key long, mark binary, r1 long, r2 long, at long")
     spans = places.join(verdict, "mark").select("r1", "r2", "at", F.explode(F.arrays_zip("starts", "ends")).alias("x"))
     spans = spans.groupBy("r1", "r2").agg(F.collect_set(F.struct((F.col("at") + F.col("x.starts")).alias("a"), (F.col("at") + F.col("x.ends")).alias("z"))).alias("spans"))
     done = chosen.select("r1", "r2", "text").dropDuplicates(["r1", "r2"]).join(spans, ["r1", "r2"])
-    done = done.mapInArrow(_cut(span), "r1 long, r2 long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    done = done.transform(mapped, _cut(span), "r1 long, r2 long, n_removed long, n_spans long, kept_sha256 string, kept binary")
     if not with_text:
         done = done.drop("kept")
     plain_rows = base.select("id", "r1", "r2", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("sha"), *([F.encode("text", "utf-8").alias("whole")] if with_text else []))

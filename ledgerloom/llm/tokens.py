@@ -4,19 +4,21 @@ from __future__ import annotations
 
 import os
 import re
+import sys
+import unicodedata
 from array import array
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import slices
+from .common import held, mapped, slices
 
 #: A text of more characters is encoded in overlapping chunks.
 HUGE = 1 << 16
 CHUNK = 1 << 14
 OVERLAP = 256
-#: Units that one Python worker remembers; beyond that it forgets all and starts again.
-REMEMBERED = 700_000
+#: Bytes of memory that one Python worker's memo of units takes; beyond that it forgets all and starts again.
+REMEMBERED = 48 << 20
 #: Separable from a word of letters only: each of these patterns' tokenizers starts a new piece here.
 _MARKS = ",.;:!?#*%$&"
 #: White space beyond ASCII, over which units can't be told apart bytewise.
@@ -24,20 +26,22 @@ _WIDE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202
 _PIECES = re.compile(rb" ?[^\s]+|\s+(?!\S)|\s+")
 _STABLE = " \t\n\r"
 
-_loaded: dict[str, object] = {}
+#: Under what name workers hold tokenizers and memos between tasks.
+KEEPS = "tokens"
 
 
 def load(path: str):
     """The tokenizer of a .json file, once for each Python process, without padding, truncation or threads of its own."""
-    if path not in _loaded:
+    loaded = held(KEEPS)
+    if path not in loaded:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         t = Tokenizer.from_file(path)
         t.no_truncation()
         t.no_padding()
-        _loaded[path] = t
-    return _loaded[path]
+        loaded[path] = t
+    return loaded[path]
 
 
 def _ids(tok, text: str) -> list[int]:
@@ -98,44 +102,55 @@ def splice(tok, text: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> list[i
     return out + [i for i, _, _ in have]
 
 
-class Counter(dict):
-    """Tokens of a unit without white space, lower case in A-Z; only for tokenizers that split at white space and drop it."""
+class Memo(dict):
+    """What units of text came to, within REMEMBERED bytes; made() works out what isn't there."""
 
     def __init__(self, tok):
         super().__init__()
-        self.tok = tok
+        self.tok, self.held = tok, 0
 
-    def __missing__(self, unit: bytes) -> int:
+    def __missing__(self, unit: bytes):
         text = unit.decode("utf-8")
         stem = text.rstrip(_MARKS)
-        if stem and stem is not text and len(stem) < len(text) and stem.isalpha():
-            n = self[stem.encode()] + self[unit[len(stem.encode()) :]]
+        if stem and len(stem) < len(text) and _ends_in_letter(stem):
+            cut = len(stem.encode())
+            got = self[unit[:cut]] + self[unit[cut:]]
         else:
-            n = len(_ids(self.tok, text))
-        if len(self) >= REMEMBERED:
+            got = self.made(text)
+        self.held += sys.getsizeof(unit) + sys.getsizeof(got) + 100  # and its share of the dictionary
+        if self.held > REMEMBERED:
             self.clear()
-        self[unit] = n
-        return n
+            self.held = 0
+        self[unit] = got
+        return got
+
+
+class Counter(Memo):
+    """Tokens of a unit without white space, lower case in A-Z; only for tokenizers that split at white space and drop it."""
+
+    def made(self, text: str) -> int:
+        return len(_ids(self.tok, text))
 
 
-class Units(dict):
+class Units(Memo):
     """Ids, as little-endian 32-bit, of a unit of byte-level BPE: an optional space and what stands up to white space."""
 
     def __init__(self, tok, ranks=None):
-        super().__init__()
-        self.tok, self.ranks = tok, ranks
+        super().__init__(tok)
+        self.ranks = ranks
 
-    def __missing__(self, unit: bytes) -> bytes:
-        text = unit.decode("utf-8")
-        stem = text.rstrip(_MARKS)
-        if stem and len(stem) < len(text) and stem.lstrip(" ").isalpha():
-            ids = self[stem.encode()] + self[unit[len(stem.encode()) :]]
-        else:
-            ids = array("I", self.ranks.encode_ordinary(text) if self.ranks else _ids(self.tok, text)).tobytes()
-        if len(self) >= REMEMBERED:
-            self.clear()
-        self[unit] = ids
-        return ids
+    def made(self, text: str) -> bytes:
+        return array("I", self.ranks.encode_ordinary(text) if self.ranks else _ids(self.tok, text)).tobytes()
+
+
+def _ends_in_letter(stem: str) -> bool:
+    """Whether the last character of stem, as it is and as tokenizers normalise it, is a letter and was one in old versions of
+    Unicode too. The marks after it are then a piece of their own. (A capital I with dot becomes i and a combining dot,
+    which isn't a letter and goes with the marks.)"""
+    if stem.isascii():
+        return stem[-1].isalpha()
+    last = unicodedata.normalize("NFC", stem).lower()[-1]
+    return all(unicodedata.ucd_3_2_0.category(c)[0] == "L" for c in (stem[-1], last))
 
 
 def count(text: str, counter: Counter) -> int:
@@ -154,13 +169,15 @@ def encoded(text: str, units: Units) -> bytes:
 
 
 def counter(path: str) -> Counter:
-    if (key := f"count {path}") not in _loaded:
-        _loaded[key] = Counter(load(path))
-    return _loaded[key]
+    loaded = held(KEEPS)
+    if (key := f"count {path}") not in loaded:
+        loaded[key] = Counter(load(path))
+    return loaded[key]
 
 
 def units(path: str, ranks_path: str | None = None) -> Units:
-    if (key := f"units {path}") not in _loaded:
+    loaded = held(KEEPS)
+    if (key := f"units {path}") not in loaded:
         ranks = None
         if ranks_path:
             import base64
@@ -171,8 +188,8 @@ def units(path: str, ranks_path: str | None = None) -> Units:
             with open(ranks_path, "rb") as f:
                 table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
             ranks = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
-        _loaded[key] = Units(load(path), ranks)
-    return _loaded[key]
+        loaded[key] = Units(load(path), ranks)
+    return loaded[key]
 
 
 def count_tokens(docs: DataFrame, path: str, limit: int = 2048, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -191,5 +208,5 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 2048, id_col: str = "d
             n = [count(t, c) for t in texts]
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([len(t.encode()) for t in texts], pa.int64()), pa.array(n, pa.int64()), pa.array([x > limit for x in n], pa.bool_())], ["id", "n_bytes", "n_tokens", "over_limit"])
 
-    out = docs.selectExpr(f"`{id_col}` AS id", f"`{text_col}` AS text").mapInArrow(run, f"id {kind}, n_bytes long, n_tokens long, over_limit boolean")
+    out = docs.selectExpr(f"`{id_col}` AS id", f"`{text_col}` AS text").transform(mapped, run, f"id {kind}, n_bytes long, n_tokens long, over_limit boolean", KEEPS)
     return out.withColumnRenamed("id", id_col)

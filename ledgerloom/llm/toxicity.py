@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable, joined, mix64, slices, word_hashes
+from .common import durable, joined, mapped, mix64, slices, word_hashes
 from .ppm import Table
 
 #: Labelled documents to learn from at most, by a hash of their ids; all features and thresholds come from these.
@@ -113,7 +113,7 @@ def _fit(word: np.ndarray, doc: np.ndarray, n: int, grade: np.ndarray, m: int) -
 
 def _stats(it):
     """(feature, level, documents, toxic documents) of each slice."""
-    for batch in slices(it, 2 << 20):
+    for batch in slices(it, 1 << 19):
         toxic = np.asarray(batch.column("toxic").to_pylist(), dtype=np.int64)
         h, doc, level = features(batch.column("text").to_pylist())
         for k in range(len(LEVELS)):
@@ -128,7 +128,7 @@ def _shown(chosen: np.ndarray, place: np.ndarray):
 
     def run(it):
         table = Table(chosen)
-        for batch in slices(it, 2 << 20):
+        for batch in slices(it, 1 << 19):
             h, doc, level = features(batch.column("text").to_pylist())
             at = table.find(h)
             h, doc, level, at = h[at >= 0], doc[at >= 0], level[at >= 0], at[at >= 0]
@@ -163,7 +163,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, id_col: st
     if not 0 < n1 < n:
         return none
     c, c1, half = F.col("c"), F.col("c1"), 0.5
-    stats = sample.select("toxic", "text").mapInArrow(_stats, "feature long, level int, c long, c1 long").groupBy("feature", "level").agg(F.sum("c").alias("c"), F.sum("c1").alias("c1")).where(c >= LEAST_DOCS)
+    stats = sample.select("toxic", "text").transform(mapped, _stats, "feature long, level int, c long, c1 long").groupBy("feature", "level").agg(F.sum("c").alias("c"), F.sum("c1").alias("c1")).where(c >= LEAST_DOCS)
     yes, no, yes_not, no_not = c1 + half, c - c1 + half, n1 - c1 + half, (n - n1) - (c - c1) + half
     odds = F.log(yes / yes_not) - F.log(no / no_not)
     stats = stats.withColumn("odds", odds).where(F.abs("odds") >= LEAST_Z * F.sqrt(1 / yes + 1 / no + 1 / yes_not + 1 / no_not))
@@ -174,7 +174,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, id_col: st
     every, where = np.unique(key, return_inverse=True)
     place = np.full((len(every), len(LEVELS)), -1, dtype=np.int64)
     place[where, table["level"]] = np.arange(len(table))
-    got = sample.select("mark", "toxic", "text").mapInArrow(_shown(every, place), "mark long, toxic int, pairs array<int>").toArrow().sort_by("mark")
+    got = sample.select("mark", "toxic", "text").transform(mapped, _shown(every, place), "mark long, toxic int, pairs array<int>").toArrow().sort_by("mark")
     toxic = got.column("toxic").to_numpy()
     lists = got.column("pairs").combine_chunks()
     lists = lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists
@@ -201,14 +201,14 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     def run(it):
         m = shared.value
         table = Table(m.words)
-        for batch in slices(it, 4 << 20):
+        for batch in slices(it, 1 << 19):
             texts = batch.column("text").to_pylist()
             z = margins(m, table, texts)
             up = m.at_least(z)
             each = -np.diff(np.concatenate([np.ones((len(z), 1)), up, np.zeros((len(z), 1))], axis=1), axis=1)
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(up[:, 0]), pa.array(up.sum(axis=1)), pa.array(each.argmax(axis=1).astype(np.int32)), pa.array(up[:, 0] >= 0.5)], ["id", "p_toxic", "expected_severity", "grade", "toxic"])
 
-    out = docs.selectExpr(f"`{id_col}` AS id", f"`{text_col}` AS text").mapInArrow(run, f"id {kind}, p_toxic double, expected_severity double, grade int, toxic boolean")
+    out = docs.selectExpr(f"`{id_col}` AS id", f"`{text_col}` AS text").transform(mapped, run, f"id {kind}, p_toxic double, expected_severity double, grade int, toxic boolean")
     return out.withColumnRenamed("id", id_col)
 
 
@@ -220,9 +220,9 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
     def run(it):
         m = shared.value
         table = Table(m.words)
-        for batch in slices(it, 4 << 20, text_col):
+        for batch in slices(it, 1 << 19, text_col):
             texts = batch.column(text_col).to_pylist()
             z = margins(m, table, texts)
             yield batch.filter(pa.array(m.at_least(z)[:, 0] < 0.5))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.transform(mapped, run, docs.schema)

@@ -32,14 +32,41 @@ def test_counts_are_the_librarys():
 
 @pytest.mark.parametrize("ranks", [None, RANKS])
 def test_ids_are_the_librarys(ranks):
-    from ledgerloom.llm import tokens
+    from ledgerloom.llm.common import held
 
-    tokens._loaded.pop(f"units {BYTE}", None)
+    held("")
     t, u = Tokenizer.from_file(BYTE), units(BYTE, ranks)
     for x in texts():
         ids = t.encode(x, add_special_tokens=False).ids
         assert encoded(x, u) == struct.pack(f"<{len(ids)}I", *ids), repr(x)
-    tokens._loaded.pop(f"units {BYTE}", None)
+    held("")
+
+
+def strings(n: int):
+    """Strings over letters that change with case or normal form, marks that combine, white space of all kinds and marks that units are split at."""
+    rng = random.Random(17)
+    letters = [*"aIKsSzé", "İ", "ı", "ß", "ẞ", "ﬁ", "ŉ", "ǅ", "Σ", "ς", "Å", "가", "ᄀ", "ᅡ", "ª", "Ⅷ", "9", "٣", "\u1c89", "ꟊ", "日", "𝐀", "😀"]
+    others = ["\u0301", "\u0307", "\u0323", "\u0345", "\u200d", "\ufe0f", " ", "\t", "\n", "\x1c", "\x85", "\xa0", "\u1680", "\u2003", "\u200b", "\u2028", "\u3000", "\ufeff", "\x00", "\x7f", *",.;:!?#*%$&'<|>-_", "'s", "'LL"]
+    for _ in range(n):
+        yield "".join(rng.choice(letters if rng.random() < 0.6 else others) for _ in range(rng.randint(1, 12)))
+
+
+def test_odd_characters_are_counted_as_by_the_library():
+    t, c, b, u = Tokenizer.from_file(WORD), counter(WORD), Tokenizer.from_file(BYTE), units(BYTE, RANKS)
+    every = [*strings(60_000), *(f"{x}İ{m}" for x in ("", "a", "İ") for m in (",", "?", "!$&", "#*%", ".;:"))]
+    for x, mine, theirs in zip(every, t.encode_batch(every, add_special_tokens=False), b.encode_batch(every, add_special_tokens=False)):
+        assert count(x, c) == len(mine.ids), repr(x)
+        assert encoded(x, u) == struct.pack(f"<{len(theirs.ids)}I", *theirs.ids), repr(x)
+
+
+def test_memo_is_bounded(monkeypatch):
+    from ledgerloom.llm import tokens
+
+    monkeypatch.setattr(tokens, "REMEMBERED", 4000)
+    c = tokens.Counter(tokens.load(WORD))
+    for k in range(500):
+        assert count(f"word{k}, w{k}x", c) == len(c.tok.encode(f"word{k}, w{k}x", add_special_tokens=False).ids)
+        assert c.held <= 4000 and len(c) < 40
 
 
 @pytest.mark.parametrize("path", [WORD, BYTE])
