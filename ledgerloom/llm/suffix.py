@@ -9,10 +9,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable, mapped, mix64, slices, union_all
+from .common import durable, mapped, mix64, slices
 
-#: Bytes of segments that are sorted at once; those of one key that have more are compared by hashes of their windows.
-SORTED, WIDE = 4 << 20, 32 << 20
+#: Bytes of segments that are sorted at once, and of one key's distinct segments; a key with more is split.
+SORTED, WIDE = 2 << 20, 1 << 19
+#: Windows of a segment at most; equal pieces of a text that goes on repeating itself are one segment.
+CHUNK = 4096
 
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -61,16 +63,21 @@ def window_keys(texts: list[bytes], span: int) -> tuple[np.ndarray, np.ndarray,
 
 
 def _runs(key: np.ndarray, ok: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(first, end, text) of each run of consecutive windows of one text that have one key."""
+    """(first, end, text) of each run of consecutive windows of one text that have one key, CHUNK windows at most."""
     places = np.flatnonzero(ok)
     if not len(places):
         return places, places, places
     new = np.ones(len(places), dtype=bool)
     new[1:] = (np.diff(places) != 1) | (key[places[1:]] != key[places[:-1]])
     new[1:] |= np.isin(places[1:], at)
-    first = places[new]
-    last = places[np.append(np.flatnonzero(new)[1:] - 1, len(places) - 1)]
-    return first, last + 1, np.searchsorted(at, first, side="right") - 1
+    begin = np.flatnonzero(new)
+    size = np.diff(np.append(begin, len(places)))
+    pieces = -(-size // CHUNK)
+    run = np.repeat(np.arange(len(begin)), pieces)
+    step = (np.arange(len(run)) - np.repeat(np.cumsum(pieces) - pieces, pieces)) * CHUNK
+    first = places[begin[run]] + step
+    last = places[begin[run]] + np.minimum(step + CHUNK, size[run])
+    return first, last, np.searchsorted(at, first, side="right") - 1
 
 
 def _anchors(span: int):
@@ -126,13 +133,30 @@ def _segments(span: int, content: bool):
     return run
 
 
+def _packed(t: np.ndarray, depth: int) -> np.ndarray:
+    """At each place, and for depth places beyond the end, the seven values from there on as one number; 0 follows the end."""
+    wide = np.concatenate([t, np.zeros(depth + 7, dtype=t.dtype)]).astype(np.int64)
+    word = np.zeros(len(t) + depth, dtype=np.int64)
+    for k in range(7):
+        word = word << 9 | wide[k : k + len(word)]
+    return word
+
+
+def _tied(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(places, number of the group) of the values of sorted x that occur more than once."""
+    first = np.ones(len(x), dtype=bool)
+    first[1:] = x[1:] != x[:-1]
+    tied = ~(first & np.append(first[1:], True))
+    return np.flatnonzero(tied), np.cumsum(first)[tied]
+
+
 def suffix_array(t: np.ndarray, depth: int) -> np.ndarray:
     """The suffixes of t (uint16, the last value smallest) sorted by their first `depth` values at least.
 
-    Two stages: suffixes that are smaller than their successors are sorted directly, by six values at a time and only
+    Two stages: suffixes that are smaller than their successors are sorted directly, by seven values at a time and only
     among those still equal; all others are induced. In a bucket of one first value, larger-than-successor suffixes come
     first. Buckets are scanned in order, and each suffix scanned puts the one before it, if that is of the second kind,
-    next in its bucket; a bucket's own additions are scanned in waves.
+    next in its bucket; a bucket's own additions are scanned in waves. Values are 0 to 511.
     """
     n = len(t)
     differs = np.flatnonzero(t[:-1] != t[1:])
@@ -142,28 +166,23 @@ def suffix_array(t: np.ndarray, depth: int) -> np.ndarray:
     d = differs[nxt[inner]]
     small[:-1][inner] = t[d] < t[d + 1]
     small[:-1][~inner] = True
-    wide = np.concatenate([t, np.zeros(depth + 16, dtype=t.dtype)]).astype(np.uint64)
+    word = _packed(t, depth)
     direct = np.flatnonzero(small)
-    word = np.zeros(n + depth, dtype=np.uint64)
-    for k in range(6):  # six values of ten bits
-        word = (word << np.uint64(10)) | wide[k : k + n + depth]
-    order = direct[np.argsort(word[direct], kind="stable")]
-    group = np.concatenate([[0], np.cumsum(np.diff(word[order].view(np.int64)) != 0)]) if len(order) else np.zeros(0, dtype=np.int64)
-    for at in range(6, depth, 6):
-        size = np.bincount(group)
-        tied = np.flatnonzero(size[group] > 1)
-        if not len(tied):
+    order = direct[np.argsort(word[direct])]
+    slots, group = _tied(word[order])  # places in the order that aren't settled, and which of them are still equal
+    for at in range(7, depth, 7):
+        if not len(slots):
             break
-        sub, g = order[tied], group[tied]
+        sub = order[slots]
         w = word[sub + at]
-        o = np.lexsort((w, g))
-        order[tied] = sub[o]
-        change = np.zeros(len(order), dtype=np.int64)
-        ws, gs = w[o], g[o]
-        new = np.flatnonzero((gs[1:] == gs[:-1]) & (ws[1:] != ws[:-1])) + 1
-        edge = np.concatenate([[0], np.diff(group)]) if len(group) else group
-        change[tied[new]] = 1
-        group = np.cumsum((edge != 0) | (change != 0))
+        o = np.argsort(w)
+        rank = np.empty(len(w), dtype=np.int64)
+        rank[o] = np.cumsum(np.diff(w[o], prepend=w[o[:1]]) != 0)
+        both = group << 32 | rank
+        o = np.argsort(both)
+        order[slots] = sub[o]
+        rest, group = _tied(both[o])
+        slots = slots[rest]
     values = t[order]
     starts = np.searchsorted(values, np.arange(int(t.max()) + 2))
     induced: list[list[np.ndarray]] = [[] for _ in range(int(t.max()) + 1)]
@@ -207,12 +226,9 @@ def repeated_windows(segments: list[bytes], span: int) -> list[np.ndarray]:
         whole[a : a + max(0, n - span + 1)] = True
     sa = suffix_array(t, span)
     sa = sa[whole[sa]]  # a window's prefix lies in its segment, so equal windows stay neighbours
-    wide = np.concatenate([t, np.zeros(16, dtype=np.uint16)])
-    word = wide[: len(t)].astype(np.uint64)
-    for k in range(1, 6):
-        word = (word << np.uint64(10)) | wide[k : k + len(t)]
+    word = _packed(t, 0)
     pair = np.arange(max(0, len(sa) - 1))
-    for k in [*range(0, span - 6, 6), span - 6]:  # common prefix of neighbours, as far as span
+    for k in [*range(0, span - 7, 7), span - 7]:  # common prefix of neighbours, as far as span
         pair = pair[word[sa[pair] + k] == word[sa[pair + 1] + k]]
     hit = np.zeros(len(t), dtype=bool)
     hit[sa[pair]] = hit[sa[pair + 1]] = True
@@ -261,26 +277,50 @@ def _sorted(span: int):
     return run
 
 
-def _window_hashes(span: int):
+def _split(span: int):
+    """Each segment (key, content, n, at, size) as segments of keys that say more of its windows.
+
+    All windows of a segment hold its bytes at : at + size. A window that starts half of what is left or more before `at`
+    holds as many bytes before it too; one that doesn't holds the other half behind. So the windows fall into two
+    segments, with the longer common part for a key. Equal windows hold that part at one place, so they fall alike. At first
+    (size null) the common part is the leftmost gram with the window's smallest hash, so a segment falls apart by these.
+    """
+    whole = gram(span)
+
+    def parts(key: int, content: bytes, at: int | None, size: int | None):
+        """(first window, end, common part, its size) of each run of windows with one common part."""
+        windows = len(content) - span + 1
+        if size is not None:
+            yield 0, windows, at, size
+            return
+        h = window_keys([content], span)[2][: len(content) - whole + 1]
+        begin = 0
+        for p in np.flatnonzero(h.view(np.int64) == key).tolist():
+            end = min(p + 1, windows)
+            if begin < end:
+                yield begin, end, p, whole
+            begin = max(begin, end)
+
     def run(it):
         for batch in slices(it, 1 << 20, column="content"):
-            for mark, content in zip(batch.column("mark").to_pylist(), batch.column("content").to_pylist()):
-                own = [hashlib.blake2b(content[i : i + span], digest_size=16).digest() for i in range(len(content) - span + 1)]
-                yield pa.RecordBatch.from_pydict({"mark": pa.array([mark] * len(own), pa.binary()), "start": pa.array(range(len(own)), pa.int32()), "window": pa.array(own, pa.binary())})
+            out: list[tuple] = []
+            for row in batch.to_pylist():
+                content = row["content"]
+                for begin, end, at, size in parts(row["key"], content, row["at"], row["size"]):
+                    half = (span - size + 1) // 2
+                    cut = max(begin, min(end, at - half + 1))
+                    for side, a, z, p, q in ((b"before", begin, cut, at - half, at + size), (b"behind", cut, end, at, at + span - half + 1)):
+                        if a < z:
+                            own = content[a : z - 1 + span]
+                            name = hashlib.blake2b(content[p:q], digest_size=8, salt=row["key"].to_bytes(8, "little", signed=True), person=side).digest()
+                            out.append((int.from_bytes(name, "little", signed=True), hashlib.blake2b(own, digest_size=16).digest(), own, row["n"], p - a, q - p, row["mark"], a))
+            yield pa.RecordBatch.from_pydict({f.name: pa.array([x[k] for x in out], f.type) for k, f in enumerate(_PARTS)}, schema=_PARTS)
 
     return run
 
 
-def _ranges_of(it):
-    for batch in it:
-        starts, ends = [], []
-        for x in batch.column("places").to_pylist():
-            hit = np.zeros(max(x) + 1, dtype=np.int8)
-            hit[x] = 1
-            a, z = _ranges(hit)
-            starts.append(a)
-            ends.append(z)
-        yield pa.RecordBatch.from_arrays([batch.column("mark"), pa.array(starts, pa.list_(pa.int32())), pa.array(ends, pa.list_(pa.int32()))], ["mark", "starts", "ends"])
+_PARTS = pa.schema([("key", pa.int64()), ("mark", pa.binary()), ("content", pa.binary()), ("n", pa.int64()), ("at", pa.int32()), ("size", pa.int32()), ("parent", pa.binary()), ("shift", pa.int32())])
+_PARTS_DDL = "key long, mark binary, content binary, n long, at int, size int, parent binary, shift int"
 
 
 def _cut(span: int):
@@ -315,7 +355,9 @@ def remove_repeats(docs: DataFrame, span: int = 200, id_col: str = "doc_id", tex
     once are left at once: only a hash for every ninety bytes or so is shuffled. Texts with repeated keys are fetched;
     equal segments meet by their digest, one standing for all, with its count; distinct segments of a key are suffix
     sorted together, and neighbours that agree for `span` bytes are repeats. A key with over WIDE bytes of distinct
-    segments is compared by digests of its strings, pre-aggregated, so no group has to fit a task.
+    segments is split: each of its segments falls into two by where the gram stands in its strings, under keys that say
+    half of what was left more of them, and equal ones meet again; so after at most log2(span) rounds no key has
+    more, no group has to fit a task, and all are sorted. Verdicts on the parts are carried back.
 
     Null text is empty. Strings shorter than span are never removed. Rows that repeat id and text are separate texts,
     repeating each other. Null ids are ids. No rows in, no rows out; other columns are ignored. span: 24 at least.
@@ -332,18 +374,24 @@ def remove_repeats(docs: DataFrame, span: int = 200, id_col: str = "doc_id", tex
     cut = chosen.transform(mapped, _segments(span, True), "key long, mark binary, content binary, n long")
     distinct = cut.groupBy("key", "mark").agg(F.sum("n").alias("n"), F.max("content").alias("content"))
     distinct = durable(distinct.where(F.octet_length("content") >= span), "repeats-segments")
-    wide = distinct.groupBy("key").agg(F.sum(F.octet_length("content")).alias("bytes")).where(F.col("bytes") > WIDE).select("key")
-    wide = durable(wide, "repeats-wide")
-    some = not wide.isEmpty()
-    plain = distinct.join(wide, "key", "left_anti") if some else distinct
-    verdicts = [plain.repartition("key").sortWithinPartitions("key").select("key", "mark", "content", "n").transform(mapped, _sorted(span), _VERDICT)]
-    if some:
-        big = distinct.join(wide, "key", "left_semi")
-        verdicts.append(big.where("n > 1").select("mark", F.array(F.lit(0)).alias("starts"), F.array(F.octet_length("content") - span + 1).alias("ends")))
-        windows = durable(big.select("mark", "content").transform(mapped, _window_hashes(span), "mark binary, start int, window binary"), "repeats-windows")
-        twice = windows.groupBy("window").agg(F.count("*").alias("n")).where("n > 1").select("window")
-        verdicts.append(windows.join(twice, "window").groupBy("mark").agg(F.collect_list("start").alias("places")).transform(mapped, _ranges_of, _VERDICT))
-    verdict = durable(union_all(verdicts), "repeats-verdicts")
+    distinct = distinct.select("key", "mark", "content", "n", F.lit(None).cast("int").alias("at"), F.lit(None).cast("int").alias("size"))
+    verdicts, links = [], []
+    while True:
+        wide = distinct.groupBy("key").agg(F.sum(F.octet_length("content")).alias("bytes"), F.count("*").alias("segments")).where((F.col("bytes") > WIDE) & (F.col("segments") > 1)).select("key")
+        wide = durable(wide, "repeats-wide")
+        last = wide.isEmpty()
+        plain = distinct if last else distinct.join(wide, "key", "left_anti")
+        verdicts.append(plain.repartition("key").sortWithinPartitions("key").select("key", "mark", "content", "n").transform(mapped, _sorted(span), _VERDICT))
+        if last:
+            break
+        parts = durable(distinct.join(wide, "key", "left_semi").select("key", "mark", "content", "n", "at", "size").transform(mapped, _split(span), _PARTS_DDL), "repeats-parts")
+        links.append(parts.select("mark", "parent", "shift"))
+        distinct = durable(parts.groupBy("key", "mark").agg(F.sum("n").alias("n"), F.max("content").alias("content"), F.max("at").alias("at"), F.max("size").alias("size")), "repeats-split")
+    verdict = durable(verdicts.pop(), "repeats-verdicts")
+    moved = lambda c: F.transform(c, lambda x: x + F.col("shift")).alias(c)
+    while links:
+        above = links.pop().join(verdict, "mark").select(F.col("parent").alias("mark"), moved("starts"), moved("ends"))
+        verdict = durable(verdicts.pop().unionByName(above), "repeats-verdicts")
     places = chosen.transform(mapped, _segments(span, False), "key long, mark binary, r1 long, r2 long, at long")
     spans = places.join(verdict, "mark").select("r1", "r2", "at", F.explode(F.arrays_zip("starts", "ends")).alias("x"))
     spans = spans.groupBy("r1", "r2").agg(F.collect_set(F.struct((F.col("at") + F.col("x.starts")).alias("a"), (F.col("at") + F.col("x.ends")).alias("z"))).alias("spans"))

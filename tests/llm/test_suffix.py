@@ -63,3 +63,39 @@ def test_remove_repeats(spark, monkeypatch, span, wide):
 
 def test_empty(spark):
     assert remove_repeats(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_long_runs(spark):
+    """Megabytes of one byte, and of a short period, are equal pieces: whole but for what no other window covers."""
+    rows = [(1, "a" * 10_000_000), (2, "xyz,w" * 400_000), (3, "b" * 201 + "c"), (4, "no repeat here" * 3)]
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans) for r in remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: (10_000_000, 10_000_000, 1), 2: (2_000_000, 2_000_000, 1), 3: (202, 201, 1), 4: (42, 0, 0)}
+
+
+def test_a_key_of_many_segments(spark, monkeypatch):
+    """One passage in the middle of thousands of texts, some of which share more of what is around it: a key that is split."""
+    rng = random.Random(4)
+    gram = "".join(rng.choice("abcdefgh") for _ in range(100))
+    text = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    lefts, rights = [text(90) for _ in range(40)], [text(90) for _ in range(40)]
+    rows = [(k, text(60) + (rng.choice(lefts) if k % 3 else text(90)) + gram + (rng.choice(rights) if k % 4 else text(90)) + text(60)) for k in range(3000)]
+    monkeypatch.setattr(suffix, "WIDE", 1 << 12)
+    split = []
+    keep = suffix._split
+    monkeypatch.setattr(suffix, "_split", lambda span: split.append(span) or keep(span))
+    got = remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(split) > 1
+    assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == brute(rows, 200)
+
+
+def test_a_task_sorts_within_bounds():
+    """A segment's bytes cost under a hundred of memory, so SORTED and WIDE together stay under 500 MB."""
+    import tracemalloc
+
+    rng = random.Random(1)
+    segments = [bytes(rng.choices(b"abcd", k=336)) for _ in range(1500)]
+    tracemalloc.start()
+    suffix.repeated_windows(segments, 200)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak / sum(map(len, segments)) * (suffix.SORTED + suffix.WIDE) < 500 << 20
