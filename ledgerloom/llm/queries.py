@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .exact import content_sort
 from .minmax import near_groups
@@ -67,4 +68,14 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"), ranks_path=_tokenizer("byte_bpe_50k.tiktoken"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_repeated_bytes, op3_toxicity, op4_vector_near_dedup, op5_ppm_scores, op6_exact_dedup, op7_page_text, op8_minmax_near_dedup, op9_source_mix, op10_best_fit_packing)}
+def mix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What op9_source_mix aims at."""
+    return op9_source_mix(spark, sf_dir).select("doc_id", "size", "source_size", F.round("target", 6).alias("target"))
+
+
+def lm_base_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What stands beside the model's score in op5_ppm_scores."""
+    return op5_ppm_scores(spark, sf_dir).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", F.round("base_score", 6).alias("base_score"))
+
+
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_repeated_bytes, op3_toxicity, op4_vector_near_dedup, op5_ppm_scores, op6_exact_dedup, op7_page_text, op8_minmax_near_dedup, op9_source_mix, op10_best_fit_packing, mix_targets, lm_base_scores)}
