@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
+from .shaping import unused
 
 
 #: Columns of cents on the left and right, tolerance as a share, and as cents: what amount_band() takes.
@@ -16,11 +17,12 @@ Amounts = tuple[str, str, float, int]
 
 def _keyed(few: DataFrame, many: DataFrame, few_step: Column, many_step: Column, radius: int, few_cents: str | None, many_cents: str | None, tolerance: tuple[float, int]) -> DataFrame:
     """few joined to many where steps are at most `radius` apart, and amounts' bands at most one, as an equal join."""
-    few, many, on = few.withColumn("__step", F.explode(F.sequence(few_step - radius, few_step + radius))), many.withColumn("__step", many_step), ["__step"]
+    step, name = unused("step", few, many), unused("band", few, many)
+    few, many, on = few.withColumn(step, F.explode(F.sequence(few_step - radius, few_step + radius))), many.withColumn(step, many_step), [step]
     if few_cents and many_cents:
         band = S.amount_band(few_cents, *tolerance)
-        few, many = few.withColumn("__band", F.explode(F.sequence(band - 1, band + 1))), many.withColumn("__band", S.amount_band(many_cents, *tolerance))
-        on.append("__band")
+        few, many = few.withColumn(name, F.explode(F.sequence(band - 1, band + 1))), many.withColumn(name, S.amount_band(many_cents, *tolerance))
+        on.append(name)
     return few.join(many, on).drop(*on)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame
@@ -9,29 +10,44 @@ from pyspark.sql import functions as F
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """df from a checkpoint in the shared folder: computed once, whatever reads it, and safe from lost executors."""
+    """df from a checkpoint in the shared folder: computed once, whatever reads it, and safe from lost executors. Where
+    spark.checkpoint.dir is unset, a local master gets a temporary folder; on a cluster that is an error."""
     spark = df.sparkSession
     if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.getCheckpointDir() is None:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerloom-"))
     return df.checkpoint()
 
 
+#: A key with over one in so many of the rows is hot. No more keys than that can be, which bounds what is broadcast.
+HOT = 1000
+
+
+def _to_smallest(rows: DataFrame, keyed: DataFrame, most: int) -> DataFrame:
+    """rows (u, v) with m, the smallest of u and its partners in keyed. Where u is hot, its rows stay where they are and m
+    comes to them; the others are shuffled. most: a bound of keyed's rows."""
+    low = keyed.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).withColumn("m", F.least("u", "m"))
+    hot = F.broadcast(low.where(F.col("n") > most // HOT).drop("n"))
+    cold = low.where(F.col("n") <= most // HOT).drop("n")
+    return rows.join(hot, "u").unionByName(rows.join(hot, "u", "left_anti").join(cold, "u"))
+
+
 def connected(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """(id, component) for each id on an edge (a, b); component is its smallest id.
 
     Each round points every neighbour that is larger at a node's smallest neighbour, then does the same among smaller
-    ones: two aggregations and two joins. It ends when a round changes nothing.
+    ones. It ends when a round changes nothing.
     """
+    state = lambda t: t.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
     e = cut(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct())
-    seen = None
+    seen = state(e)
     for _ in range(rounds):
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        e = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        low = e.groupBy("u").agg(F.min("v").alias("m"))
-        e = e.join(low, "u").select(F.inline(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v"))))).where("u <> v").distinct()
-        e = cut(e)
-        now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        e = cut(_to_smallest(both.where("v > u"), both, 2 * seen[0]).select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct())
+        pairs = F.inline(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v"))))
+        e = cut(_to_smallest(e, e, 2 * seen[0]).select(pairs).where("u <> v").distinct())
+        now = state(e)
         if now == seen:
             roots = e.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()
             return e.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(roots)

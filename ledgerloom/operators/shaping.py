@@ -6,6 +6,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def unused(name: str, *frames: DataFrame) -> str:
+    """name, with as many underscores before it as it takes to be no column of the frames, in any case of letters."""
+    taken = {c.lower() for f in frames for c in f.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def prefixed(df: DataFrame, prefix: str) -> DataFrame:
     return df.select([F.col(c).alias(prefix + c) for c in df.columns])
 
@@ -27,8 +35,9 @@ def require(df: DataFrame, names: list[str]) -> DataFrame:
 
 def first_by(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """One row a key: the first in order, which should end in something unique."""
+    n = unused("row_n", df)
     w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("__n", F.row_number().over(w)).where("__n = 1").drop("__n")
+    return df.withColumn(n, F.row_number().over(w)).where(F.col(n) == 1).drop(n)
 
 
 def top_by(df: DataFrame, keys: list[str], order: list[Column], k: int, rank: str = "rank") -> DataFrame:
@@ -39,9 +48,11 @@ def top_by(df: DataFrame, keys: list[str], order: list[Column], k: int, rank: st
 
 def unpivot_amounts(df: DataFrame, fields: list[str], source: str = "amount_field", value: str = "amount_value") -> DataFrame:
     """A row for each amount that isn't NULL nor, but for the first field, equal to the first one."""
-    out = df.withColumn("__a", F.explode(F.array(*[F.struct(F.lit(f).alias("s"), F.col(f).cast("double").alias("v")) for f in fields])))
-    keep = F.col("__a.v").isNotNull() & ((F.col("__a.s") == fields[0]) | ~F.coalesce(F.col("__a.v") == F.col(fields[0]), F.lit(False)))
-    return out.where(keep).withColumns({source: F.col("__a.s"), value: F.col("__a.v")}).drop("__a")
+    pair = unused("pair", df)
+    out = df.withColumn(pair, F.explode(F.array(*[F.struct(F.lit(f).alias("s"), F.col(f).cast("double").alias("v")) for f in fields])))
+    s, v = F.col(f"{pair}.s"), F.col(f"{pair}.v")
+    keep = v.isNotNull() & ((s == fields[0]) | ~F.coalesce(v == F.col(fields[0]), F.lit(False)))
+    return out.where(keep).withColumns({source: s, value: v}).drop(pair)
 
 
 def collapse_headers(receipts: DataFrame, key: str, customer: str, fields: list[str]) -> DataFrame:

@@ -126,15 +126,15 @@ def receipts_to_remittances(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("receipt_id", "document_id", "remitreceipt_id", "amount_field", "final_score", "match_rank")
 
 
-@query(
-    f""", r AS (SELECT sha256(concat_ws('||', coalesce(invoice_number, ''), coalesce(CAST(invoice_date AS VARCHAR), ''), coalesce(remitreceipt_id, ''), coalesce(payer_name, ''), coalesce(payer_address, ''))) AS remit_line_id, {norm('invoice_number')} AS r_no, invoice_date AS r_date, {cents('invoice_amount')} AS r_cents, {norm('payer_name')} AS r_name, {norm('payer_address')} AS r_addr FROM remit_lines WHERE invoice_amount IS NOT NULL),
+_LINES = f"""r AS (SELECT sha256(concat_ws('||', coalesce(invoice_number, ''), coalesce(CAST(invoice_date AS VARCHAR), ''), coalesce(remitreceipt_id, ''), coalesce(payer_name, ''), coalesce(payer_address, ''))) AS remit_line_id, {norm('invoice_number')} AS r_no, invoice_date AS r_date, {cents('invoice_amount')} AS r_cents, {norm('payer_name')} AS r_name, {norm('payer_address')} AS r_addr FROM remit_lines WHERE invoice_amount IS NOT NULL),
 i AS (SELECT invno, {norm('invno')} AS i_no, invdate AS i_date, {cents('coalesce(invamt, amount, balance)')} AS i_cents, {norm('company')} AS i_name, {norm('address')} AS i_addr FROM invoices),
 c AS (SELECT remit_line_id, invno, abs(r_cents - i_cents) AS amt_diff, abs(date_diff('day', r_date, i_date)) AS day_diff, (r_no <> '' AND r_no = i_no) AS invno_match, {sim('r_name', 'i_name')} AS n, CASE WHEN r_addr <> '' AND i_addr <> '' THEN {sim('r_addr', 'i_addr')} END AS ad
   FROM r JOIN i ON abs(date_diff('day', r_date, i_date)) <= 7 AND abs(r_cents - i_cents) <= round(abs(r_cents) * 0.01) AND (left(r_name, 1) = left(i_name, 1) OR r_name = '' OR i_name = '')),
-s AS (SELECT remit_line_id, invno, amt_diff, day_diff, invno_match, round(0.35 * CASE WHEN amt_diff = 0 THEN 1 ELSE exp(-amt_diff / 500.0) END + 0.25 * n + 0.20 * exp(-day_diff / 7.0) + 0.15 * coalesce(ad, 0) + 0.05 * CAST(invno_match AS INT), 6) AS pre_score FROM c)
-SELECT *, row_number() OVER (PARTITION BY remit_line_id ORDER BY pre_score DESC, amt_diff, invno) AS rank0 FROM s QUALIFY rank0 <= 10""",
-    ("remit_lines",),
-)
+s AS (SELECT remit_line_id, invno, amt_diff, day_diff, invno_match, round(0.35 * CASE WHEN amt_diff = 0 THEN 1 ELSE exp(-amt_diff / 500.0) END + 0.25 * n + 0.20 * exp(-day_diff / 7.0) + 0.15 * coalesce(ad, 0) + 0.05 * CAST(invno_match AS INT), 6) AS pre_score FROM c),
+k AS (SELECT *, row_number() OVER (PARTITION BY remit_line_id ORDER BY pre_score DESC, amt_diff, invno) AS rank0 FROM s QUALIFY rank0 <= 10)"""
+
+
+@query(f", {_LINES} SELECT * FROM k", ("remit_lines",))
 def remit_line_to_invoice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pipelines.remit_line_scores(view(spark, sf_dir, "remit_lines"), view(spark, sf_dir, "invoices"))
 
@@ -501,23 +501,84 @@ def conflict_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return subset.resolve_conflicts(subset_dfs(spark, sf_dir))
 
 
-@query()
+_ROWS = "CASE WHEN n = 1 THEN 'one-to-one' ELSE 'one-to-many' END AS grouping_type, n AS group_count"
+#: Each receipt has a customer of its own here, so its cheapest edges are filled one after another. x: receipt_id, invoice_key, r_cents, i_cents, cost.
+_FILLED = f"""f AS (SELECT receipt_id, invoice_key, cost, greatest(0, least(i_cents, r_cents - coalesce(sum(i_cents) OVER (PARTITION BY receipt_id ORDER BY cost, invoice_key ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))) AS v FROM x WHERE r_cents > 0 AND i_cents > 0),
+g AS (SELECT receipt_id, invoice_key, CAST(v AS BIGINT) AS allocated_cents, cost, count(*) OVER (PARTITION BY receipt_id) AS n FROM f WHERE v > 0),
+left_ AS (SELECT receipt_id, CAST(max(r_cents) - coalesce(max(s), 0) AS BIGINT) AS v FROM x LEFT JOIN (SELECT receipt_id, sum(allocated_cents) AS s FROM g GROUP BY 1) USING (receipt_id) WHERE r_cents > 0 AND i_cents > 0 GROUP BY 1)"""
+
+
+@query(
+    f""", {_BLOCK}, x AS (SELECT receipt_id, invno AS invoice_key, r_cents, i_cents, CAST(round((1 - least(greatest(block_score, 0), 1)) * 1000) AS BIGINT) AS cost FROM e QUALIFY row_number() OVER (PARTITION BY receipt_id ORDER BY block_score DESC, day_diff, invno) <= 200),
+{_FILLED}, z AS (SELECT receipt_id, invoice_key, allocated_cents, cost, {_ROWS} FROM g UNION ALL SELECT receipt_id, '__unmatched__', v, 10000, 'unmatched', 0 FROM left_ WHERE v > 0)
+SELECT * FROM z UNION ALL SELECT receipt_id, '__unmatched__', 0, NULL, 'unmatched', 0 FROM receipts WHERE receipt_id NOT IN (SELECT receipt_id FROM z)""",
+    ("receipts",),
+)
 def min_cost_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pipelines.receipts_to_invoices_flow(view(spark, sf_dir, "receipts"), view(spark, sf_dir, "invoices"))
 
 
+@query(
+    f""", {_BLOCK}, p AS (SELECT receipt_id, invno AS invoice_key, least({cents('r.amount')}, {cents('i.invamt')}) AS v FROM receipts r JOIN invoices i ON payercust_custno = custno AND abs(round(r.amount * 100) - round(i.invamt * 100)) <= 1 AND r.currency = i.currency AND abs(date_diff('day', receipt_date, invdate)) <= 90
+  QUALIFY row_number() OVER (PARTITION BY receipt_id ORDER BY abs(date_diff('day', receipt_date, invdate)), invno) = 1),
+c AS (SELECT receipt_id, invno, r_cents, i_cents, day_diff, block_score, count(*) OVER (PARTITION BY receipt_id) AS candidates FROM (SELECT * FROM e QUALIFY row_number() OVER (PARTITION BY receipt_id ORDER BY block_score DESC, day_diff, invno) <= 200) WHERE i_cents > 0 AND receipt_id NOT IN (SELECT receipt_id FROM p WHERE v > 0)),
+d AS (SELECT *, 1 - least(day_diff, 365) / 365.0 AS dc, least(greatest(1 - abs(r_cents - i_cents) / 100.0 / greatest(1.0, abs(r_cents) / 100.0), 0), 1) AS ac FROM c),
+w AS (SELECT *, CASE WHEN candidates <= 3 THEN least(greatest(CAST(0.75 AS DOUBLE) * ac + CAST(0.20 AS DOUBLE) * dc, 0), 1) ELSE least(greatest(block_score, 0), 1) END AS word FROM d),
+x AS (SELECT receipt_id, invno AS invoice_key, r_cents, i_cents, CAST(round((1 - least(greatest(CAST(0.85 AS DOUBLE) * word + CAST(0.10 AS DOUBLE) * dc, 0), 1)) * 1000) AS BIGINT) AS cost FROM w),
+{_FILLED}, z AS (SELECT receipt_id, invoice_key, v AS allocated_cents, 0 AS cost, 'presolved' AS method, 'one-to-one' AS grouping_type, 1 AS group_count FROM p WHERE v > 0
+  UNION ALL SELECT receipt_id, invoice_key, allocated_cents, cost, 'flow', {_ROWS} FROM g UNION ALL SELECT receipt_id, '__unmatched__', v, 12000, 'unmatched', 'unmatched', 0 FROM left_ WHERE v > 0)
+SELECT * FROM z UNION ALL SELECT receipt_id, '__unmatched__', 0, NULL, 'unmatched', 'unmatched', 0 FROM receipts WHERE receipt_id NOT IN (SELECT receipt_id FROM z)""",
+    ("receipts",),
+)
+def presolved_receipt_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = reconcile.receipts_to_invoices_presolved(view(spark, sf_dir, "receipts"), view(spark, sf_dir, "invoices"), judge.closeness_judge)
+    return out.withColumnRenamed("left_key", "receipt_id")
+
+
 @query()
+def presolved_remittance_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = F.col("invno").cast("long")
+    paid = F.when(n % 6 == 0, F.round(F.col("invamt") / 4, 2)).otherwise(F.lit(0.0))
+    i = view(spark, sf_dir, "invoices").withColumns({"srcinvoice": F.when(n % 3 == 0, F.concat(F.lit("S"), "invno")), "invrefno": F.when(n % 3 == 1, F.col("invno")), "total_amount_paid": paid})
+    return reconcile.remittances_to_invoices(view(spark, sf_dir, "remit_lines"), i, judge.closeness_judge).withColumnRenamed("left_key", "remitreceipt_id")
+
+
+_SAID = "least(greatest(pre_score, 0), 1)"
+#: Kept rows with the closeness judge's word on those below {high}, of a worse rank or doubtful; b: ranked rows with match_rank_pre.
+_JUDGED = f"""j AS (SELECT *, (pre_score < {{high}} OR match_rank_pre > 1{{doubtful}}) AS asked FROM b),
+a AS (SELECT *, CASE WHEN asked THEN pre_score >= 0.9 END AS is_match, CASE WHEN asked THEN {_SAID} END AS confidence, CASE WHEN asked THEN printf('score %.3f', pre_score) END AS reason,
+  CASE WHEN asked THEN CAST(0.65 AS DOUBLE) * {_SAID} + CAST(0.35 AS DOUBLE) * pre_score ELSE pre_score END AS final FROM j),
+t AS (SELECT * FROM a WHERE CASE WHEN asked THEN is_match AND confidence >= 0.55 ELSE pre_score >= {{high}} END)"""
+
+
+@query(
+    f""", {_SCORED}, o AS (SELECT *, max(pre_score) OVER (PARTITION BY receipt_id) AS best FROM k),
+b AS (SELECT *, row_number() OVER (PARTITION BY receipt_id ORDER BY pre_score DESC, amt_diff, document_id, remitreceipt_id, amount_field) AS match_rank_pre FROM o WHERE pre_score >= 0.92 OR (pre_score >= 0.70 AND pre_score >= best - CAST(0.1 AS DOUBLE)) QUALIFY match_rank_pre <= 3),
+{_JUDGED.format(high=0.92, doubtful='')}
+SELECT receipt_id, document_id, remitreceipt_id, amount_field, is_match, confidence, reason, round(final, 6) AS final_score, row_number() OVER (PARTITION BY receipt_id ORDER BY final DESC, amt_diff, document_id, remitreceipt_id, amount_field) AS match_rank FROM t QUALIFY match_rank <= 3""",
+    ("receipts", "remit_headers"),
+)
 def judged_blend(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pipelines.receipts_to_remittances(view(spark, sf_dir, "receipts"), view(spark, sf_dir, "remit_headers"), high=0.92, second=0.70, margin=0.1, ask=judge.closeness_judge)
+    out = pipelines.receipts_to_remittances(view(spark, sf_dir, "receipts"), view(spark, sf_dir, "remit_headers"), high=0.92, second=0.70, margin=0.1, ask=judge.closeness_judge)
+    return out.select("receipt_id", "document_id", "remitreceipt_id", "amount_field", "is_match", "confidence", "reason", F.round("final_score", 6).alias("final_score"), "match_rank")
 
 
-@query()
+@query(
+    f""", {_LINES}, b AS (SELECT *, row_number() OVER (PARTITION BY remit_line_id ORDER BY pre_score DESC, amt_diff, invno) AS match_rank_pre FROM k WHERE pre_score >= 0.85 QUALIFY match_rank_pre <= 3),
+{_JUDGED.format(high=0.85, doubtful=' OR NOT invno_match')}
+SELECT remit_line_id, invno, is_match, confidence, reason, round(final, 6) AS final_score, row_number() OVER (PARTITION BY remit_line_id ORDER BY final DESC, amt_diff, invno) AS match_rank FROM t QUALIFY match_rank <= 3""",
+    ("remit_lines",),
+)
 def remit_lines_judged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pipelines.remit_lines_to_invoices(view(spark, sf_dir, "remit_lines"), view(spark, sf_dir, "invoices"), ask=judge.closeness_judge)
+    out = pipelines.remit_lines_to_invoices(view(spark, sf_dir, "remit_lines"), view(spark, sf_dir, "invoices"), ask=judge.closeness_judge)
+    return out.select("remit_line_id", "invno", "is_match", "confidence", "reason", F.round("final_score", 6).alias("final_score"), "match_rank")
 
 
-@query()
+@query(
+    f""", {_BLOCK}, p AS (SELECT DISTINCT receipt_id FROM receipts r JOIN invoices i ON payercust_custno = custno AND abs(round(r.amount * 100) - round(i.invamt * 100)) <= 1 AND r.currency = i.currency AND abs(date_diff('day', receipt_date, invdate)) <= 90),
+o AS (SELECT *, row_number() OVER (PARTITION BY receipt_id ORDER BY block_score DESC, invno) AS k FROM (SELECT * FROM e QUALIFY row_number() OVER (PARTITION BY receipt_id ORDER BY block_score DESC, day_diff, invno) <= 200) WHERE receipt_id NOT IN (SELECT receipt_id FROM p))
+SELECT receipt_id, count(*) AS candidates, max(block_score) AS max_score, '[' || string_agg('{{"invno":"' || invno || '","block_score":' || CAST(block_score AS VARCHAR) || '}}', ',' ORDER BY k) FILTER (WHERE k <= 5) || ']' AS top_candidates FROM o GROUP BY receipt_id""",
+    ("receipts",),
+)
 def ambiguous_receipts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge.ambiguous(block_topk(spark, sf_dir), presolve_exact(spark, sf_dir), "receipt_id", "block_score", "invno")
-
-

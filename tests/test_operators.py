@@ -223,3 +223,45 @@ def test_nearest_field_ties(spark):
     assert [(r.matched_field, r.diff_cents) for r in df.orderBy("a").collect()] == [("A", -1), ("C", 0)]
 
 
+
+
+def test_flow_without_outlet_sends_most_at_least_cost(spark):
+    rng = random.Random(8)
+    for _ in range(40):
+        supply, room = ({f"{s}{i}": rng.randint(1, 3) for i in range(2)} for s in "ri")
+        edges = [(a, b, rng.randint(0, 20), min(supply[a], room[b])) for a in supply for b in room if rng.random() < 0.8]
+        cost = {(a, b): c for a, b, c, _ in edges}
+        best = min(((-sum(v), sum(x * e[2] for x, e in zip(v, edges))) for v in itertools.product(*[range(e[3] + 1) for e in edges]) if all(sum(x for x, e in zip(v, edges) if e[k] == n) <= m for k, side in ((0, supply), (1, room)) for n, m in side.items())), default=(0, 0))
+        rows = [(a, b, supply[a], room[b], c) for a, b, c, _ in edges]
+        got = flow.min_cost_flow(supply, room, edges, unmatched=None)
+        assert (-sum(got.values()), sum(v * cost[k] for k, v in got.items())) == best
+    got = flow.allocate(spark.createDataFrame(rows, "receipt_id string, invoice_key string, r_cents long, i_cents long, cost long"), unmatched=None).toPandas()
+    assert (-got.allocated_cents.sum(), (got.allocated_cents * got.cost).sum()) == best
+
+
+def test_flow_of_stars_and_of_many_components(spark):
+    """Stars are filled by running sums, other components by the solver, several to a frame: the cost is the whole network's."""
+    rng = random.Random(12)
+    rows = [(f"a{k}", f"x{k}-{j}", 500, rng.randint(50, 300), rng.randint(0, 900)) for k in range(20) for j in range(rng.randint(1, 5))]
+    rows += [(f"b{k}-{j}", f"y{k}", 100 + 7 * j, 300, rng.randint(0, 900)) for k in range(20) for j in range(rng.randint(2, 6))]
+    rows += [(f"c{k}-{i}", f"z{k}-{j}", 200 + i, 150 + 9 * j, rng.randint(0, 900)) for k in range(30) for i in range(3) for j in range(3)]
+    rows.append(rows[0][:4] + (899,))  # a repeated pair: the cheaper one counts
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        got = flow.allocate(spark.createDataFrame(rows, "receipt_id string, invoice_key string, r_cents long, i_cents long, cost long")).toPandas()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    supply, room, cost = {a: r for a, _, r, _, _ in rows}, {b: i for _, b, _, i, _ in rows}, {}
+    for a, b, _, _, c in rows:
+        cost[a, b] = min(c, cost.get((a, b), c))
+    whole = flow.min_cost_flow(supply, room, [(a, b, c, min(supply[a], room[b])) for (a, b), c in cost.items()])
+    assert (got.allocated_cents * got.cost).sum() == sum(v * cost.get(k, flow.UNMATCHED_COST) for k, v in whole.items())
+    assert all(g.allocated_cents.sum() == supply[r] for r, g in got.groupby("receipt_id"))
+    assert all(g.allocated_cents.sum() <= room[i] for i, g in got[got.invoice_key != flow.UNMATCHED].groupby("invoice_key"))
+
+
+def test_band_joins_keep_columns_of_any_name(spark):
+    left = spark.createDataFrame([(1, "2024-01-01", 100, 5, 6, 7)], "a int, d string, c long, step int, band int, __step int")
+    right = spark.createDataFrame([(2, "2024-01-03", 100, 8)], "b int, e string, f long, _step int")
+    got = blocking.week_band_join(left, right, "d", "e", 1, amounts=("c", "f", 0.01, 0)).collect()
+    assert [(r.a, r.b, r.step, r.band, r["__step"], r["_step"]) for r in got] == [(1, 2, 5, 6, 7, 8)]

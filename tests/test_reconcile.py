@@ -81,3 +81,32 @@ def test_similar_tickets(spark):
     t = spark.createDataFrame([("IN1", "printer is broken"), ("IN2", "mail is slow"), ("IN3", "printer broke")], "number string, text string")
     got = reconcile.similar_tickets(t, judge.trigram_embedder, "broken printer", 2).orderBy("rank").collect()
     assert {r.number for r in got} == {"IN1", "IN3"} and [r["rank"] for r in got] == [1, 2]
+
+
+def test_remittances_to_invoices_presolves_and_keeps_to_the_room(spark):
+    """Exact numbers first, each invoice once; the rest by flow over what payments and exact pairs leave of an invoice."""
+    lines = [("M1", "INV1", 100.0), ("M2", "inv1", 100.0), ("M3", None, 200.0), ("M4", "nope", 201.0), ("M5", "S5", 50.0), ("M6", None, 9000.0), ("M7", "INV7", 70.0)]
+    m = spark.createDataFrame([(k, n, a, "2024-01-05", "USD", "Acme Inc") for k, n, a in lines], "remitreceipt_id string, invoice_number string, invoice_amount double, invoice_date string, currency string, payer_name string").withColumn("invoice_date", F.to_date("invoice_date"))
+    inv = [("INV1", None, 100.0, None), ("INV3", None, 200.0, 20.0), ("INV4", None, 202.0, None), ("INV5", "S5", 50.0, None), ("INV7", None, 70.0, 70.0)]
+    i = spark.createDataFrame([(n, s, a, p, "2024-01-03", "USD", "Acme") for n, s, a, p in inv], "invno string, srcinvoice string, invamt double, total_amount_paid double, invdate string, currency string, company string").withColumns({"invdate": F.to_date("invdate"), "invrefno": F.lit(None).cast("string")})
+    got = reconcile.remittances_to_invoices(m, i, judge.closeness_judge).toPandas()
+    assert set(got.left_key) == {k for k, _, _ in lines}
+    sure = {(r.left_key, r.invoice_key, r.allocated_cents) for r in got[got.method == "presolved"].itertuples()}
+    assert sure == {("M1", "INV1", 10000), ("M5", "INV5", 5000)}
+    real = got[got.invoice_key != "__unmatched__"]
+    room = {n: round((a - (p or 0)) * 100) for n, _, a, p in inv}
+    assert all(g.allocated_cents.sum() <= room[k] for k, g in real.groupby("invoice_key"))
+    cents = {k: round(a * 100) for k, _, a in lines}
+    assert all(g.allocated_cents.sum() in (0, cents[k]) for k, g in got.groupby("left_key"))
+    sent = real[real.method == "flow"].groupby("left_key").allocated_cents.sum().to_dict()
+    assert sum(sent.values()) == 18000 + 20200 and set(sent) == {"M3", "M4"}  # all room within reach is used
+    assert {r.left_key for r in got[got.grouping_type == "unmatched"].itertuples()} >= {"M2", "M6", "M7"}
+
+
+def test_receipts_presolved_flow_uses_an_invoice_once(spark):
+    r = spark.createDataFrame([("R1", "C", 100.0, "2024-01-05"), ("R2", "C", 100.0, "2024-01-06"), ("R3", "C", 90.0, "2024-01-07")], "receipt_id string, payercust_custno string, amount double, receipt_date string").withColumns({"receipt_date": F.to_date("receipt_date"), "currency": F.lit("USD"), "payercust_company": F.lit("Acme")})
+    i = spark.createDataFrame([("C", "I1", 100.0, "2024-01-05"), ("C", "I2", 80.0, "2024-01-05")], "custno string, invno string, invamt double, invdate string").withColumns({"invdate": F.to_date("invdate"), "currency": F.lit("USD"), "company": F.lit("Acme")})
+    got = reconcile.receipts_to_invoices_presolved(r, i, judge.closeness_judge).toPandas()
+    assert [(x.left_key, x.invoice_key, x.allocated_cents) for x in got[got.method == "presolved"].itertuples()] == [("R1", "I1", 10000)]
+    assert got[got.invoice_key == "I1"].allocated_cents.sum() == 10000 and got[got.invoice_key == "I2"].allocated_cents.sum() == 8000
+    assert got.groupby("left_key").allocated_cents.sum().to_dict() == {"R1": 10000, "R2": 10000, "R3": 9000}
