@@ -7,7 +7,8 @@ import math
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-COMPANY_WORDS = ("inc", "llc", "ltd", "corp", "co", "company", "incorporated", "limited", "corporation")
+# Fixed value: the words that say only what kind a company is, as a pattern.
+COMPANY_WORDS = "inc|llc|ltd|corp|co|company|incorporated|limited|corporation"
 
 
 def col(x: str | Column) -> Column:
@@ -17,12 +18,16 @@ def col(x: str | Column) -> Column:
 # --- text ------------------------------------------------------------------------------------------------------------
 
 
+#: What separates the words of a name: anything but letters and digits, and company words between such.
+_APART = rf"(?:[^a-z0-9]|(?<![a-z0-9])(?:{COMPANY_WORDS})(?![a-z0-9]))+"
+
+
 def norm_name(x: str | Column) -> Column:
-    """Lower case, letters a-z, digits and single spaces only, without company suffix words; NULL becomes ''."""
-    s = F.lower(F.trim(F.coalesce(col(x).cast("string"), F.lit(""))))
-    s = F.regexp_replace(F.regexp_replace(s, "[^a-z0-9 ]", " "), r"\s+", " ")
-    s = F.regexp_replace(s, rf"\b({'|'.join(COMPANY_WORDS)})\b", "")
-    return F.trim(F.regexp_replace(s, r"\s+", " "))
+    """Lower case, letters a-z, digits and single spaces only, without company suffix words; NULL becomes ''.
+
+    One pass: each run of separators and company words becomes a space, and spaces at the ends go.
+    """
+    return F.coalesce(F.btrim(F.regexp_replace(F.lower(col(x).cast("string")), _APART, " ")), F.lit(""))
 
 
 def similarity(a: str | Column, b: str | Column) -> Column:
@@ -37,9 +42,8 @@ def similarity_or_null(a: str | Column, b: str | Column) -> Column:
 
 def email_company(x: str | Column) -> Column:
     """The last label but one of an e-mail address's domain, upper case; NULL without one."""
-    domain = F.regexp_extract(F.upper(col(x)), r"@([A-Z0-9.\-]+)", 1)
-    parts = F.split(domain, r"\.")
-    return F.when(F.size(parts) > 1, F.get(parts, F.size(parts) - 2))
+    label = F.regexp_extract(F.upper(col(x)), r"@(?:[A-Z0-9.-]*\.)?([A-Z0-9-]+)\.[A-Z0-9-]*(?![A-Z0-9.-])", 1)
+    return F.nullif(label, F.lit(""))
 
 
 def same_prefix(a: str | Column, b: str | Column, n: int = 8) -> Column:
@@ -229,9 +233,11 @@ def salvaged_json(x: str | Column, schema: str) -> Column:
 # --- questions -------------------------------------------------------------------------------------------------------
 
 TICKET = r"\b(IN\d{8,})\b"
-DAYS = r"(\d+)\s*days?"
-STALE = r"(?i)\b(stale|not updated|no update|inactive|not been updated)\b"
-ASSIGNEE = r"(?i)assigned to\s+([A-Za-z0-9_.\- ]+?)\s*(?:\?|$)"
+# What questions are told apart by.
+DAYS = r"(?:last|past)\s+(\d+)\s+day"
+STALE = r"(?i)no updates?|stale"
+STILL_OPEN = r"(?i)not closed|open|not resolved"
+ASSIGNEE = r"(?i)assigned\s+to\s+(.+?)(?:\?|$)"
 
 
 def asked_ticket(x: str | Column) -> Column:

@@ -29,6 +29,8 @@ class Weights:
 RECEIPT_REMITTANCE = Weights((("amount", 0.45), ("date", 0.20), ("name", 0.25), ("address", 0.10)))
 REMITTANCE_INVOICE = Weights((("amount", 0.35), ("name", 0.25), ("date", 0.20), ("address", 0.15), ("number", 0.05)))
 RECEIPT_INVOICE_LINE = Weights((("amount", 0.55), ("name", 0.20), ("address", 0.10), ("dates", 0.10), ("cluster", 0.05)))
+#: Adds up to 1.2, as an amount that agrees comes first.
+RECEIPT_INVOICE_BRIEF = Weights((("amount", 1.0), ("name", 0.2)))
 RERANK = Weights((("cosine", 0.55), ("amount", 0.25), ("date", 0.18), ("reference", 0.02)))
 BLOCK_RECEIPT = Weights((("amount", 0.60), ("date", 0.30), ("user", 0.05), ("name", 0.05)))
 BLOCK_REMITTANCE = Weights((("amount", 0.55), ("date", 0.20), ("company", 0.15), ("number", 0.10)))

@@ -59,9 +59,15 @@ def presolved(left: DataFrame, right: DataFrame, on: list[tuple[str, str]], left
 
 
 def block_candidates(left: DataFrame, right: DataFrame, on: tuple[str, str], left_amount: str, right_amount: str, left_date: str, right_date: str, currencies: tuple[str, str], days: int = 90, most: float = 1.15) -> DataFrame:
-    """Pairs of one key whose right amount is from 0 to `most` times the left one, dates near, currencies equal or missing."""
-    cond = (F.col(on[0]) == F.col(on[1])) & (F.col(right_amount) >= 0) & (F.col(right_amount) <= F.col(left_amount) * most)
-    return left.join(right, cond & S.currency_ok(*currencies) & (S.days_apart(left_date, right_date) <= days))
+    """Pairs of one key whose right amount is from 0 to `most` times the left one, dates near, currencies equal or missing.
+
+    Windows of `days` days are keys beside it, so that a key with a long history makes pairs within its windows only.
+    """
+    window = lambda c: F.floor(F.datediff(F.col(c), F.lit("1970-01-01").cast("date")) / days).cast("int")
+    mine, theirs = unused("left_window", left, right), unused("right_window", left, right)
+    left, right = left.withColumn(mine, F.explode(F.sequence(window(left_date) - 1, window(left_date) + 1))), right.withColumn(theirs, window(right_date))
+    cond = (F.col(on[0]) == F.col(on[1])) & (F.col(mine) == F.col(theirs)) & (F.col(right_amount) >= 0) & (F.col(right_amount) <= F.col(left_amount) * most)
+    return left.join(right, cond & S.currency_ok(*currencies) & (S.days_apart(left_date, right_date) <= days)).drop(mine, theirs)
 
 
 def wide_block_join(left: DataFrame, right: DataFrame, left_date: str, right_date: str, residual: Column, days: int = 120, amounts: Amounts | None = None) -> DataFrame:

@@ -5,18 +5,24 @@ from __future__ import annotations
 import re
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """df from a checkpoint in the shared folder: computed once, whatever reads it, and safe from lost executors. Where
-    spark.checkpoint.dir is unset, a local master gets a temporary folder; on a cluster that is an error."""
-    spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.getCheckpointDir() is None:
+def shared_folder(spark: SparkSession) -> str:
+    """spark.checkpoint.dir. Where that is unset, a local master gets a temporary folder; on a cluster that is an error."""
+    at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not at:
         if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
             raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerloom-"))
+        at = spark.sparkContext.getCheckpointDir()
+    return at
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """df from a checkpoint in the shared folder: computed once, whatever reads it, and safe from lost executors."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 

@@ -42,18 +42,22 @@ def dated_candidates(receipts: DataFrame, invoices: DataFrame, months_back: int,
     i = invoices.dropna(subset=["custno", "invdate", "created_on", "app_date", "duedate"]).where(F.to_date("created_on") == F.to_date("modified_on"))
     i = i.join(F.broadcast(bound), F.col("invdate").between(F.col("b_low"), F.col("b_high"))).drop("b_low", "b_high")
     i = i.withColumns({f"c_{f}": F.coalesce(S.cents(f), F.lit(0)) for f in ("amount", "invamt", "balance", "app_amount")})
-    near = (F.col("custno") == F.col("payercust_custno")) & F.col("invdate").between(F.add_months("r_date", -months_back), F.add_months("r_date", months_forward))
+    span = months_back + months_forward + 1  # windows of so many months are keys beside the customer: a receipt reaches two of them
+    month = lambda c: F.year(c) * 12 + F.month(c)
+    r = r.withColumn("r_window", F.explode(F.sequence(F.floor((month("r_date") - months_back) / span), F.floor((month("r_date") + months_forward) / span))))
+    i = i.withColumn("i_window", F.floor(month("invdate") / span))
+    near = (F.col("custno") == F.col("payercust_custno")) & (F.col("r_window") == F.col("i_window")) & F.col("invdate").between(F.add_months("r_date", -months_back), F.add_months("r_date", months_forward))
     if "r_created" in r.columns:
         near = near & (F.abs(F.unix_timestamp(F.col("created_on").cast("timestamp")) - F.unix_timestamp(F.col("r_created").cast("timestamp"))) <= hours * 3600)
-    return r.join(i, near)
+    return r.join(i, near).drop("r_window", "i_window")
 
 
 def consistent(candidates: DataFrame) -> DataFrame:
     """Per receipt: sums, counts, and the one application date and due date; receipts with several are left out."""
     sums = [F.sum(f"c_{f}").alias(f"s_{f}") for f in ("amount", "invamt", "balance", "app_amount")]
-    dates = [F.min("app_date").alias("app_date"), F.max("app_date").alias("__a"), F.min("duedate").alias("due_date"), F.max("duedate").alias("__d")]
+    dates = [F.min("app_date").alias("app_date"), F.max("app_date").alias("last_app_date"), F.min("duedate").alias("due_date"), F.max("duedate").alias("last_due_date")]
     out = candidates.groupBy("receipt_id", "custno").agg(F.min("r_cents").alias("r_cents"), *sums, F.count("*").alias("line_count"), F.countDistinct("invno").alias("invno_count"), *dates)
-    return out.where("app_date = __a AND due_date = __d").drop("__a", "__d")
+    return out.where("app_date = last_app_date AND due_date = last_due_date").drop("last_app_date", "last_due_date")
 
 
 def whole_set_sums(receipts: DataFrame, invoices: DataFrame, months_back: int = 12, months_forward: int = 1, cents: int = 1) -> DataFrame:
@@ -119,8 +123,8 @@ def batch_groups(pairs: DataFrame, unit: str = "day", k: int = 3) -> DataFrame:
 
 def small_sums(edges: DataFrame, size: int = 3, groups: int = 30, absolute_cents: int = 1, relative: float = 0.002) -> DataFrame:
     """Groups of one, two or three candidates of a receipt whose amounts come to its own: edges (receipt_id, r_cents,
-    inv_key, i_cents, cosine). All such groups are found, by joins on rising keys, the last member of a pair or triple
-    by its amount's bucket; the best `groups` by mean cosine stay."""
+    inv_key, i_cents, cosine). All such groups are found, by joins of a receipt's own candidates on rising keys, so the
+    caller's top-k bounds them; the best `groups` by mean cosine stay."""
     e = edges.where("i_cents > 0").select("receipt_id", "r_cents", "inv_key", "i_cents", "cosine")
     reach = F.greatest(F.lit(absolute_cents).cast("double"), F.abs("r_cents") * relative)
     one = e.where(F.abs(F.col("i_cents") - F.col("r_cents")) <= reach).select("receipt_id", "r_cents", F.array("inv_key").alias("keys"), F.col("i_cents").alias("total"), F.col("cosine").alias("mean_cosine"))

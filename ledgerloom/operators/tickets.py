@@ -42,14 +42,15 @@ def by_assignee(tickets: DataFrame, name: str, k: int = 100) -> DataFrame:
 
 
 def route(question: str) -> tuple[str, dict]:
-    """(lookup, its arguments): by ticket number, then staleness, then assignee, else by similarity."""
+    """(lookup, its arguments): by ticket number; then by staleness, if the question is of tickets that aren't closed, with the
+    days of "last 5 days"; then by assignee, a name of three letters or more; else by similarity."""
     if m := re.search(S.TICKET, question.upper()):
         return "number", {"number": m[1]}
-    if re.search(S.STALE, question):
+    if re.search(S.STALE, question) and re.search(S.STILL_OPEN, question):
         d = re.search(S.DAYS, question.lower())
         return "stale", {"days": int(d[1]) if d else 7}
-    if m := re.search(S.ASSIGNEE, question):
-        return "assignee", {"name": m[1].strip()}
+    if (m := re.search(S.ASSIGNEE, question)) and len(name := m[1].strip().strip("\"'")) >= 3:
+        return "assignee", {"name": name}
     return "similar", {"text": question}
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from ..operators import blocking, flow, judge, knn, remittance_json, shaping, subset, sums, tickets
+from ..sources import vector_store
 from ..sources.fixtures import table, view, with_views
 from . import pipelines, reconcile
 
@@ -322,15 +323,14 @@ def prefer_single_match(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f""", {_BLOCK}, a AS (SELECT receipt_id, invno AS invoice_key, i_cents AS allocated_cents FROM e QUALIFY row_number() OVER (PARTITION BY receipt_id ORDER BY block_score DESC, day_diff, invno) <= 1 + CAST(substr(receipt_id, 2) AS BIGINT) % 2),
+    f""", {_BLOCK}, a AS (SELECT receipt_id, invno AS invoice_key, i_cents AS allocated_cents FROM e QUALIFY row_number() OVER (PARTITION BY receipt_id ORDER BY block_score DESC, day_diff, invno) <= 200),
 n AS (SELECT *, (SELECT count(DISTINCT invoice_key) FROM a y WHERE y.receipt_id = a.receipt_id AND allocated_cents > 0) AS o, (SELECT count(DISTINCT receipt_id) FROM a y WHERE y.invoice_key = a.invoice_key AND allocated_cents > 0) AS i FROM a)
 SELECT receipt_id, invoice_key, allocated_cents, CASE WHEN allocated_cents <= 0 THEN 'unmatched' WHEN o > 1 AND i > 1 THEN 'many-to-many' WHEN o > 1 THEN 'one-to-many' WHEN i > 1 THEN 'many-to-one' ELSE 'one-to-one' END AS grouping_type,
   CASE WHEN allocated_cents <= 0 THEN 0 WHEN o > 1 THEN o WHEN i > 1 THEN i ELSE 1 END AS group_count FROM n""",
     ("receipts",),
 )
 def grouping_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    a = block_topk(spark, sf_dir).where(F.col("rank0") <= 1 + F.substring("receipt_id", 2, 20).cast("long") % 2)
-    return flow.grouping_labels(a.select("receipt_id", F.col("invno").alias("invoice_key"), F.col("i_cents").alias("allocated_cents")))
+    return flow.grouping_labels(block_topk(spark, sf_dir).select("receipt_id", F.col("invno").alias("invoice_key"), F.col("i_cents").alias("allocated_cents")))
 
 
 @query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events")
@@ -363,7 +363,7 @@ def tickets_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f", {_SNAP} SELECT number, state, assigned_to, category FROM t WHERE coalesce(state, '') <> 'Closed' AND sys_updated_on < TIMESTAMP '{NOW}' - INTERVAL 7 DAYS ORDER BY sys_updated_on NULLS LAST, number LIMIT 50", ("tickets",))
 def tickets_stale(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tickets.answer(tickets.snapshot(view(spark, sf_dir, "tickets")), "Which tickets were not updated for 7 days?", NOW).drop("sys_updated_on")
+    return tickets.answer(tickets.snapshot(view(spark, sf_dir, "tickets")), "Which open tickets had no update in the last 7 days?", NOW).drop("sys_updated_on")
 
 
 @query(f", {_SNAP} SELECT number, state, assigned_to, category FROM t WHERE lower(assigned_to) = 'agent3' ORDER BY sys_updated_on DESC NULLS LAST, number LIMIT 100", ("tickets",))
@@ -582,3 +582,12 @@ SELECT receipt_id, count(*) AS candidates, max(block_score) AS max_score, '[' ||
 )
 def ambiguous_receipts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge.ambiguous(block_topk(spark, sf_dir), presolve_exact(spark, sf_dir), "receipt_id", "block_score", "invno")
+
+
+@query("SELECT receipt_id, 64 AS size FROM receipts", ("receipts",))
+def stored_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Companies' vectors from a stored index that takes in a part of the receipts, then all: what is there isn't embedded again."""
+    names = view(spark, sf_dir, "receipts").select("receipt_id", S.norm_name("payercust_company").alias("text"))
+    at = vector_store.scratch_path(spark)
+    vector_store.synchronise(spark, at, names.where("receipt_id < 'R5'"), judge.trigram_embedder, "receipt_id")
+    return vector_store.synchronise(spark, at, names, judge.trigram_embedder, "receipt_id").select(F.col("id").alias("receipt_id"), F.size("vector").alias("size"))

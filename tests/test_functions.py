@@ -5,6 +5,7 @@ import math
 
 from ledgerloom.functions import scalars as S
 from ledgerloom.functions import scores as W
+from ledgerloom.functions import texts
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -60,7 +61,7 @@ def test_currencies_keys_and_json(spark):
     v = one(spark, S.unit_vector(F.array(F.lit(3.0), F.lit(4.0))))
     assert math.isclose(v[0], 0.6, rel_tol=1e-9) and math.isclose(v[1], 0.8, rel_tol=1e-9)
     assert one(spark, S.labelled_text({"x": "a", "y": "b"}), a="1", b=" ") == "x: 1"
-    assert one(spark, S.asked_ticket("a"), a="see in00000012 now") == "IN00000012" and one(spark, S.asked_days("a"), a="for 3 days") == 3 and one(spark, S.asked_days("a"), a="") == 7
+    assert one(spark, S.asked_ticket("a"), a="see in00000012 now") == "IN00000012" and one(spark, S.asked_days("a"), a="in the last 3 days") == 3 and one(spark, S.asked_days("a"), a="for 3 days") == 7 and one(spark, S.asked_days("a"), a="") == 7
 
 
 def test_scores(spark):
@@ -69,3 +70,32 @@ def test_scores(spark):
         assert math.isclose(sum(x for _, x in w.parts), 1.0)
     assert one(spark, W.cost(F.lit(1.2))) == 0 and one(spark, W.cost(F.lit(0.25))) == 750
     assert one(spark, W.keeps("m", "c", "p", 0.9), m=True, c=0.5, p=0.99) is False
+
+
+def test_names_are_cleaned_as_step_by_step(spark):
+    """One pass over the name against cleaning it step by step."""
+    import random
+    import re
+
+    rng = random.Random(3)
+    bits = ["Inc", "inc.", "CO", "company", "Acme", "limited_", "_llc", "co-op", "corp", " ", "  ", "-", ".", "é", "9", "incx", "xinc", "Ltd", "\t"]
+    names = ["".join(rng.choice(bits) for _ in range(rng.randint(0, 8))) for _ in range(2000)]
+
+    def plain(x):
+        s = re.sub("[^a-z0-9 ]", " ", x.lower().strip())
+        s = re.sub(r"\b(inc|llc|ltd|corp|co|company|incorporated|limited|corporation)\b", "", re.sub(r"\s+", " ", s))
+        return re.sub(r"\s+", " ", s).strip()
+
+    got = spark.createDataFrame([(x,) for x in names], "a string").select("a", S.norm_name("a").alias("n")).collect()
+    assert [(r.a, r.n) for r in got if r.n != plain(r.a)] == []
+    assert one(spark, S.norm_name("a"), a=None) == ""
+
+
+def test_composed_texts(spark):
+    df = spark.createDataFrame([("Acme", None, 5.5, [("I1", 2.0, None), ("I2", None, 3.0)], "x" * 50)], "vendor_name string, payer string, total_amount double, invoice_items array<struct<invoice_number: string, amount_paid: double, invoice_amount: double>>, memo string")
+    text = lambda kind, most=1000: texts.composed(df, kind, most).first().text
+    assert text("remittance", 4) == "REMITTANCE PAYER Acme CUR  AMT 5.5 DATE  CHECK  BANKREF  PO  INV  DESC xxxx"
+    assert text("remittance_with_lines") == "REMITTANCE PAYER Acme CUR  AMT 5.5 DATE  CHECK  LINES I1:2.0 ; I2:3.0"
+    assert text("receipt_with_account").endswith("MICR /") and len(text("invoice_line", 20)) == 20
+    for kind in texts.COMPOSITIONS:
+        assert text(kind).split(" ")[0] in ("REMITTANCE", "RECEIPT", "REMIT_LINE", "RECEIPT_LINE", "INVOICE_LINE")

@@ -5,6 +5,7 @@ import itertools
 import random
 from collections import defaultdict
 
+import pandas as pd
 import pytest
 from ledgerloom.functions import scalars as S
 from ledgerloom.operators import blocking, components, flow, judge, knn, remittance_json, shaping, subset, sums, tickets
@@ -197,7 +198,7 @@ def test_json(spark):
 
 
 def test_tickets(spark):
-    assert tickets.route("What about in00000001?")[0] == "number" and tickets.route("stale for 3 days") == ("stale", {"days": 3})
+    assert tickets.route("What about in00000001?")[0] == "number" and tickets.route("Open ones with no update in the past 3 days") == ("stale", {"days": 3}) and tickets.route("stale for 3 days")[0] == "similar" and tickets.route("stale but not closed, 3 days") == ("stale", {"days": 7})
     assert tickets.route("assigned to Ann Lee?") == ("assignee", {"name": "Ann Lee"}) and tickets.route("printer broken")[0] == "similar"
     t0 = dt.datetime(2024, 1, 1)
     h = [("IN1", None, "a", t0), ("IN1", "Closed", "a", t0 + dt.timedelta(days=1)), ("IN2", None, "b", t0), ("IN3", "open", "b", None), (None, "x", "b", t0)]
@@ -265,3 +266,28 @@ def test_band_joins_keep_columns_of_any_name(spark):
     right = spark.createDataFrame([(2, "2024-01-03", 100, 8)], "b int, e string, f long, _step int")
     got = blocking.week_band_join(left, right, "d", "e", 1, amounts=("c", "f", 0.01, 0)).collect()
     assert [(r.a, r.b, r.step, r.band, r["__step"], r["_step"]) for r in got] == [(1, 2, 5, 6, 7, 8)]
+
+
+def test_edges_are_scored_by_key_and_failures_stay_where_they_are(spark):
+    edges = spark.createDataFrame([("R1", "I1", 0.4), ("R1", "I2", 7.0), ("R2", "I1", 0.5), ("R3", "I3", 0.1), ("R1", "I1", 0.4)], "receipt_id string, invoice_key string, s double")
+
+    def scorer(pdf):
+        if pdf["receipt_id"].iloc[0] == "R2":
+            raise RuntimeError("down")
+        return pd.DataFrame({"confidence": ["none" if x < 0.2 else x for x in pdf["s"]], "explanation": ["y" * int(100 * x) for x in pdf["s"]]})
+
+    got = {(r.receipt_id, r.invoice_key): (r.confidence, r.explanation) for r in judge.scored_edges(edges, scorer, "receipt_id", "invoice_key").collect()}
+    assert got == {("R1", "I1"): (0.4, "y" * 40), ("R1", "I2"): (1.0, "y" * 117 + "..."), ("R2", "I1"): (0.0, "edge scoring failed: down"), ("R3", "I3"): (0.0, "y" * 10)}
+
+
+def test_rationale(spark):
+    cases = spark.createDataFrame([("R1", 2), ("R2", 3)], "receipt_id string, candidates int")
+    assert all(r.next_actions == [] and r.explanations == [] for r in judge.with_rationale(cases, "receipt_id").collect())
+
+    def adviser(context):
+        if '"R2"' in context:
+            raise RuntimeError("down")
+        return "call the payer", ["two invoices fit"]
+
+    got = {r.receipt_id: (r.next_actions, r.explanations) for r in judge.with_rationale(cases, "receipt_id", adviser).collect()}
+    assert got == {"R1": (["call the payer"], ["two invoices fit"]), "R2": ([], ["rationale failed: down"])}

@@ -63,3 +63,21 @@ def test_streams(spark, tmp_path):
     q = st.counts_by_window(st.read_events(spark, src, 1)).writeStream.outputMode("append").foreachBatch(lambda df, n: rows.extend(df.collect())).option("checkpointLocation", str(tmp_path / "c2")).trigger(availableNow=True).start()
     q.awaitTermination()
     assert {r.event_type for r in rows} <= {"click", "view", "late"}
+
+
+def test_stored_index_embeds_each_text_once(spark, tmp_path):
+    from ledgerloom.sources import vector_store
+
+    calls = spark.sparkContext.accumulator(0)
+
+    def embedder(texts):
+        calls.add(len(texts))
+        return [[float(len(t)), 1.0] for t in texts]
+
+    at = f"{tmp_path}/store"
+    frame = lambda *rows: spark.createDataFrame(rows, "id string, text string")
+    got = vector_store.synchronise(spark, at, frame(("a", "one"), ("b", "three"), ("c", "one"), ("d", None)), embedder)
+    assert {r.id for r in got.collect()} == {"a", "b", "c", "d"} and calls.value == 3
+    got = {r.id: r.vector for r in vector_store.synchronise(spark, at, frame(("a", "one"), ("b", "changed"), ("e", "three")), embedder).collect()}
+    assert set(got) == {"a", "b", "e"} and calls.value == 4 and abs(got["b"][0] - 7 / 50**0.5) < 1e-6
+    assert vector_store.synchronise(spark, at, frame(("x", "changed")), embedder).count() == 1 and calls.value == 4
