@@ -1,13 +1,15 @@
 """Token counts and packing against the library itself."""
 
+import bisect
 import random
 import struct
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import public_tokenizers
 import pytest
-from ledgerloom.llm.packing import pack, plan
+from ledgerloom.llm import packing
+from ledgerloom.llm.packing import pack, supersteps, sweep, wanted
 from ledgerloom.llm.tokens import count, count_tokens, counter, encoded, splice, units
 from tokenizers import Tokenizer
 
@@ -83,32 +85,73 @@ def test_count_query_rows(spark):
     assert count_tokens(spark.createDataFrame([], "doc_id long, text string"), WORD).collect() == []
 
 
-def test_plan_is_best_fit():
-    rng = random.Random(1)
-    for _ in range(60):
-        cap = rng.choice([7, 16, 50])
-        items = [rng.randint(1, cap) for _ in range(rng.randint(0, 200))]
-        counts = defaultdict(int)
-        for x in items:
-            counts[x] += 1
-        bins = []
-        for x in sorted(items, reverse=True):
-            fits = [b for b in bins if b[0] >= x]
-            b = min(fits, key=lambda b: b[0]) if fits else None
-            if b is None:
-                bins.append(b := [cap])
-            b[0] -= x
-        filled = defaultdict(list)
-        for length, _, n, first, at in plan(counts, cap):
-            for k in range(n):
-                filled[first + k].append((at, length))
-        assert len(filled) == len(bins)
-        for parts in filled.values():
-            end = 0
-            for at, length in sorted(parts):
-                assert at == end
-                end += length
-            assert end <= cap
+def best_fit(counts, capacity):
+    """Sequences of best fit, longest first, piece by piece."""
+    gaps, n = [], 0
+    for x in sorted((x for x, k in counts.items() for _ in range(k)), reverse=True):
+        at = bisect.bisect_left(gaps, x)
+        if at < len(gaps):
+            gap = gaps.pop(at)
+        else:
+            gap, n = capacity, n + 1
+        if gap > x:
+            bisect.insort(gaps, gap - x)
+    return n
+
+
+def checked(places, counts, capacity):
+    """The sequences of runs (length, rank, n, sequence, offset), which must place each rank once, without gaps or overlaps."""
+    filled, ranks = defaultdict(list), defaultdict(list)
+    for length, rank, n, first, at in places:
+        ranks[length] += range(rank, rank + n)
+        for k in range(n):
+            filled[first + k].append((at, length))
+    assert {x: sorted(r) for x, r in ranks.items()} == {x: list(range(k)) for x, k in counts.items() if k}
+    for parts in filled.values():
+        end = 0
+        for at, length in sorted(parts):
+            assert at == end
+            end += length
+        assert end <= capacity
+    return len(filled)
+
+
+def in_process(counts, capacity):
+    """supersteps() without Spark."""
+    state, opened = [(packing.PIECES, x, 0, n, 0, 0) for x, n in counts.items() if n], 0
+    for least in [*(capacity // d + 1 for d in packing.BATCHES), 1]:
+        ranges = packing.RANGES
+        while True:
+            live = [r for r in state if r[0] != packing.PLACED and r[1] >= least]
+            sizes = sorted({r[1] for r in live})
+            cuts = [least] if ranges == 1 else sorted({sizes[len(sizes) * k // ranges] for k in range(ranges)} if sizes else {least})
+            state = [r for r in state if r[0] == packing.PLACED or r[1] < least]
+            for low, high in zip(cuts, [*cuts[1:], capacity + 1]):
+                state += sweep([r[:4] for r in live if low <= r[1] < high], capacity, low)
+            rest = [(x, n) for kind, x, _, n, _, _ in state if kind == packing.PIECES and x >= least]
+            if not rest:
+                break
+            if ranges == 1:
+                more = wanted(sum(n for _, n in rest), sum(x * n for x, n in rest), sum(n for x, n in rest if 2 * x > capacity), sum(n for x, n in rest if 3 * x > capacity), capacity)
+                state.append((packing.GAPS, capacity, opened, more, 0, 0))
+                opened += more
+            ranges = 1
+    return [r[1:] for r in state if r[0] == packing.PLACED]
+
+
+def test_supersteps_need_no_more_sequences_than_best_fit(spark):
+    """As best fit, longest first, piece by piece: never two more, and in sum no more."""
+    rng, more = random.Random(1), []
+    for _ in range(400):
+        capacity = rng.choice([7, 16, 50, 100])
+        items = [rng.randint(1, rng.choice([capacity, max(1, capacity // 3)])) for _ in range(rng.randint(0, 200))]
+        counts = Counter(items)
+        more.append(checked(in_process(counts, capacity), counts, capacity) - best_fit(counts, capacity))
+    assert max(more) <= 1 and sum(x > 0 for x in more) <= len(more) // 20, Counter(more)
+    for capacity, items in ((1024, [min(1024, max(1, int(rng.lognormvariate(5.5, 1)))) for _ in range(20_000)]), (50, [26, 25, 25, 17, 17, 16, 9, 9, 8, 50, 1]), (50, [])):
+        counts = Counter(items)
+        got = supersteps(spark.createDataFrame(list(counts.items()), "length long, n long"), capacity).select("p_length", "p_rank", "p_n", "p_sequence", "offset").collect()
+        assert checked([tuple(r) for r in got], counts, capacity) <= best_fit(counts, capacity)
 
 
 def test_pack_is_a_round_trip(spark):
