@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable, mapped, mix64, slices
+from .common import discard, durable, join_hot, mapped, mix64, slices
 
 #: Bytes of segments that are sorted at once, and of one key's distinct segments; a key with more is split.
 SORTED, WIDE = 2 << 20, 1 << 19
@@ -371,12 +371,14 @@ def remove_repeats(docs: DataFrame, span: int = 200, id_col: str = "doc_id", tex
     keys = anchors.groupBy("key").agg(F.sum("n").alias("all")).where("all > 1").select("key")
     lists = anchors.join(keys, "key").groupBy("r1").agg(F.collect_set("key").alias("keys"))
     chosen = durable(long.select("r1", "r2", "text").join(lists, "r1"), "repeats-texts")
+    discard(anchors)
     cut = chosen.transform(mapped, _segments(span, True), "key long, mark binary, content binary, n long")
     distinct = cut.groupBy("key", "mark").agg(F.sum("n").alias("n"), F.max("content").alias("content"))
-    distinct = durable(distinct.where(F.octet_length("content") >= span), "repeats-segments")
-    distinct = distinct.select("key", "mark", "content", "n", F.lit(None).cast("int").alias("at"), F.lit(None).cast("int").alias("size"))
-    verdicts, links = [], []
+    distinct = distinct.where(F.octet_length("content") >= span).withColumns({"at": F.lit(None).cast("int"), "size": F.lit(None).cast("int")})
+    distinct = durable(distinct, "repeats-segments")
+    verdicts, links, spent = [], [], []
     while True:
+        spent.append(distinct)
         wide = distinct.groupBy("key").agg(F.sum(F.octet_length("content")).alias("bytes"), F.count("*").alias("segments")).where((F.col("bytes") > WIDE) & (F.col("segments") > 1)).select("key")
         wide = durable(wide, "repeats-wide")
         last = wide.isEmpty()
@@ -386,12 +388,17 @@ def remove_repeats(docs: DataFrame, span: int = 200, id_col: str = "doc_id", tex
             break
         parts = durable(distinct.join(wide, "key", "left_semi").select("key", "mark", "content", "n", "at", "size").transform(mapped, _split(span), _PARTS_DDL), "repeats-parts")
         links.append(parts.select("mark", "parent", "shift"))
+        spent += [wide, parts]
         distinct = durable(parts.groupBy("key", "mark").agg(F.sum("n").alias("n"), F.max("content").alias("content"), F.max("at").alias("at"), F.max("size").alias("size")), "repeats-split")
     verdict = durable(verdicts.pop(), "repeats-verdicts")
     moved = lambda c: F.transform(c, lambda x: x + F.col("shift")).alias(c)
     while links:
-        above = links.pop().join(verdict, "mark").select(F.col("parent").alias("mark"), moved("starts"), moved("ends"))
+        up = links.pop()
+        shared = up.groupBy("mark").agg(F.count("*").alias("n"))
+        told = verdict.groupBy("mark").agg(F.flatten(F.collect_list("starts")).alias("starts"), F.flatten(F.collect_list("ends")).alias("ends")).join(shared, "mark")
+        above = join_hot(up, told, ["mark"], "n", up.count()).select(F.col("parent").alias("mark"), moved("starts"), moved("ends"))
         verdict = durable(verdicts.pop().unionByName(above), "repeats-verdicts")
+    discard(*spent)
     places = chosen.transform(mapped, _segments(span, False), "key long, mark binary, r1 long, r2 long, at long")
     spans = places.join(verdict, "mark").select("r1", "r2", "at", F.explode(F.arrays_zip("starts", "ends")).alias("x"))
     spans = spans.groupBy("r1", "r2").agg(F.collect_set(F.struct((F.col("at") + F.col("x.starts")).alias("a"), (F.col("at") + F.col("x.ends")).alias("z"))).alias("spans"))
