@@ -110,3 +110,38 @@ def test_receipts_presolved_flow_uses_an_invoice_once(spark):
     assert [(x.left_key, x.invoice_key, x.allocated_cents) for x in got[got.method == "presolved"].itertuples()] == [("R1", "I1", 10000)]
     assert got[got.invoice_key == "I1"].allocated_cents.sum() == 10000 and got[got.invoice_key == "I2"].allocated_cents.sum() == 8000
     assert got.groupby("left_key").allocated_cents.sum().to_dict() == {"R1": 10000, "R2": 10000, "R3": 9000}
+
+
+def test_rankings_by_classes_are_the_rankings_of_rows(spark):
+    """Copies of lines and invoices are paired once a class: each line still has its k best rows, named ones and shared ids too."""
+    rng = random.Random(11)
+    inv = [(f"i{k:03}", 100.0 + rng.randint(0, 3), day(rng.randint(0, 3)), rng.choice(["USD", None, "EUR"]), rng.choice(["Acme", "Beta"])) for k in range(90)]
+    rem = [(f"m{k % 38}", rng.choice([None, "I001", f"i{k:03}", "zz"]), 100.0 + rng.randint(0, 3), day(rng.randint(0, 3)), rng.choice(["USD", None]), rng.choice(["Acme", "Beta", ""])) for k in range(40)]
+    i = spark.createDataFrame(inv, "invno string, invamt double, invdate date, currency string, company string")
+    m = spark.createDataFrame(rem, "remitreceipt_id string, invoice_number string, invoice_amount double, invoice_date date, currency string, payer_name string")
+    want = {}
+    for key, no, a, d, c, name in rem:
+        for k, b, e, cc, company in inv:
+            if abs(a - b) * 100 <= round(a * 3) and abs((d - e).days) <= 10 and (c is None or cc is None or c == cc):
+                gap = abs((d - e).days)
+                s = 0.55 * (1 - abs(a - b) / a) + 0.2 * (1 - gap / 365) + 0.15 * (name == company) + 0.1 * (no is not None and no.upper() == k.upper())
+                want.setdefault(key, []).append((-round(s, 6), gap, k))
+    got = {}
+    for r in reconcile.remit_blocked_edges(m, i, topk=12).collect():
+        got.setdefault(r.remitreceipt_id, []).append((r.rank0, r.invno, r.block_score))
+    assert {k: [(n, x[2], -x[0]) for n, x in enumerate(sorted(v)[:12], 1)] for k, v in want.items()} == {k: sorted(v) for k, v in got.items()}
+
+
+def test_pairs_of_classes_do_not_grow_with_copies(spark):
+    left = spark.range(300).selectExpr("id AS l", "id % 3 AS a")
+    right = spark.range(400).selectExpr("id AS r", "id % 4 AS b")
+    seen = []
+
+    def pairs(x, y):
+        seen.extend((x.count(), y.count()))
+        return x.join(y, F.col("a") <= F.col("b")).withColumn("far", F.col("b") - F.col("a"))
+
+    best = blocking.best_by_classes(left, right, ["a"], ["b"], ["r"], pairs, ["far"], [], 105)
+    assert seen == [3, 4]
+    got = {x.left_key.a: [(y.far, y.r) for y in x.best] for x in best.collect()}
+    assert got == {a: sorted((r % 4 - a, r) for r in range(400) if r % 4 >= a)[:105] for a in range(3)}
