@@ -291,3 +291,19 @@ def test_rationale(spark):
 
     got = {r.receipt_id: (r.next_actions, r.explanations) for r in judge.with_rationale(cases, "receipt_id", adviser).collect()}
     assert got == {"R1": (["call the payer"], ["two invoices fit"]), "R2": ([], ["rationale failed: down"])}
+
+
+def test_depth_first_has_no_bound_of_nodes():
+    items = [(f"i{k:02}", 1000 + 2 * k, 1.0 - k / 100) for k in range(20)]
+    target = sum(c for _, c, _ in items[-10:])
+    assert subset.depth_first(items, target) == ([f"i{k}" for k in range(10, 20)], sum(s for _, _, s in items[-10:]))
+
+
+def test_beam_takes_all_lines():
+    items = [(f"i{k:03}", 1000 + k, 1.0) for k in range(80)] + [("last", 7, 0.1)]
+    assert subset.beam(items, 7, 0)[:3] == (["last"], 7, 0)
+
+
+def test_line_scores_without_limits_keep_every_line(spark):
+    pool = spark.range(150).selectExpr("'R' AS receipt_id", "CAST(id AS STRING) AS inv_row_id", "100L AS r_cents", "DATE '2024-01-01' AS r_date", "'a' AS r_name", "'b' AS r_addr", "1.0D AS amount", "1.0D AS balance", "1.0D AS invamt", "'a' AS company", "'b' AS address", "DATE '2024-01-01' AS invdate", "DATE '2024-01-01' AS duedate", "'s' AS salespn", "'t' AS salesarea", "'u' AS modified_by", "150L AS pool_n")
+    assert pipelines.line_scores(pool, topk=None, large=None).count() == 150 and pipelines.line_scores(pool).count() == 0
