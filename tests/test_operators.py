@@ -307,3 +307,18 @@ def test_beam_takes_all_lines():
 def test_line_scores_without_limits_keep_every_line(spark):
     pool = spark.range(150).selectExpr("'R' AS receipt_id", "CAST(id AS STRING) AS inv_row_id", "100L AS r_cents", "DATE '2024-01-01' AS r_date", "'a' AS r_name", "'b' AS r_addr", "1.0D AS amount", "1.0D AS balance", "1.0D AS invamt", "'a' AS company", "'b' AS address", "DATE '2024-01-01' AS invdate", "DATE '2024-01-01' AS duedate", "'s' AS salespn", "'t' AS salesarea", "'u' AS modified_by", "150L AS pool_n")
     assert pipelines.line_scores(pool, topk=None, large=None).count() == 150 and pipelines.line_scores(pool).count() == 0
+
+
+def test_knn_by_text_is_the_knn_of_rows_and_embeds_texts_once(spark):
+    words = ["acme", "acme gmbh", "beta", "beta ag", "gamma", None]
+    rows = spark.createDataFrame([(k, words[k * 7 % 6]) for k in range(60)], "id long, text string")
+    sizes = []
+
+    def embed(t):
+        sizes.append(t.count())
+        return judge.embedded(t, judge.trigram_embedder)
+
+    whole = judge.embedded(rows, judge.trigram_embedder)
+    want = knn.knn(whole.where("id % 4 = 0"), whole, 13, 0.3).select("query_id", "index_id", "cosine")
+    got = knn.knn_by_text(rows.where("id % 4 = 0"), rows, embed, 13, 0.3)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and max(sizes) <= 6
