@@ -240,6 +240,25 @@ def test_flow_without_outlet_sends_most_at_least_cost(spark):
     assert (-got.allocated_cents.sum(), (got.allocated_cents * got.cost).sum()) == best
 
 
+def test_flow_of_copies_is_solved_by_classes(spark, monkeypatch):
+    """Receipts with one list and invoices on the same lists are one node each to the solver; every row still has its share."""
+    seen, solve = [], flow.connected
+    monkeypatch.setattr(flow, "connected", lambda e: seen.append(e.count()) or solve(e))
+    rows = [(f"r{a}{k:02}", f"i{b}{j:02}", 100 + k, 90 + j, 10 * abs(a - b) + a) for a in range(3) for k in range(20) for b in range(2) for j in range(15)]
+    supply, room, cost = {r[0]: r[2] for r in rows}, {r[1]: r[3] for r in rows}, {r[:2]: r[4] for r in rows}
+    for outlet in (flow.UNMATCHED_COST, None):
+        got = flow.allocate(spark.createDataFrame(rows, "receipt_id string, invoice_key string, r_cents long, i_cents long, cost long"), outlet).toPandas()
+        whole = flow.min_cost_flow(supply, room, [(a, b, c, min(supply[a], room[b])) for (a, b), c in cost.items()], outlet)
+        assert (got.allocated_cents * got.cost).sum() == sum(v * cost.get(k, flow.UNMATCHED_COST) for k, v in whole.items())
+        assert (got.allocated_cents > 0).all() and not got.duplicated(["receipt_id", "invoice_key"]).any()
+        sent = got.groupby("receipt_id").allocated_cents.sum()
+        assert all(sent.get(a, 0) == v if outlet else sent.get(a, 0) <= v for a, v in supply.items())
+        real = got[got.invoice_key != flow.UNMATCHED]
+        assert all(g.allocated_cents.sum() <= room[i] for i, g in real.groupby("invoice_key"))
+        assert all(cost[r.receipt_id, r.invoice_key] == r.cost for r in real.itertuples())
+    assert seen == [6, 6]
+
+
 def test_flow_of_stars_and_of_many_components(spark):
     """Stars are filled by running sums, other components by the solver, several to a frame: the cost is the whole network's."""
     rng = random.Random(12)

@@ -103,6 +103,17 @@ def test_remittances_to_invoices_presolves_and_keeps_to_the_room(spark):
     assert {r.left_key for r in got[got.grouping_type == "unmatched"].itertuples()} >= {"M2", "M6", "M7"}
 
 
+def test_presolved_lines_make_no_candidates(spark, monkeypatch):
+    """Lines with an exact pair aren't paired with invoices of like amount, as their edges would be dropped."""
+    seen, edges = [], reconcile.remit_blocked_edges
+    monkeypatch.setattr(reconcile, "remit_blocked_edges", lambda lines, *a: seen.append({r.remitreceipt_id for r in lines.collect()}) or edges(lines, *a))
+    m = spark.createDataFrame([(f"M{k}", f"I{k}" if k else None, 100.0, day(5), "USD", "Acme") for k in range(5)], "remitreceipt_id string, invoice_number string, invoice_amount double, invoice_date date, currency string, payer_name string")
+    i = spark.createDataFrame([(f"I{k}", 100.0, day(4), "USD", "Acme") for k in range(5)], "invno string, invamt double, invdate date, currency string, company string")
+    got = reconcile.remittances_to_invoices(m, i.withColumns({c: F.lit(None).cast(t) for c, t in (("srcinvoice", "string"), ("invrefno", "string"), ("total_amount_paid", "double"))}), judge.closeness_judge).collect()
+    assert seen == [{"M0"}]
+    assert {(r.left_key, r.invoice_key, r.method) for r in got} == {("M0", "I0", "flow")} | {(f"M{k}", f"I{k}", "presolved") for k in range(1, 5)}
+
+
 def test_receipts_presolved_flow_uses_an_invoice_once(spark):
     r = spark.createDataFrame([("R1", "C", 100.0, "2024-01-05"), ("R2", "C", 100.0, "2024-01-06"), ("R3", "C", 90.0, "2024-01-07")], "receipt_id string, payercust_custno string, amount double, receipt_date string").withColumns({"receipt_date": F.to_date("receipt_date"), "currency": F.lit("USD"), "payercust_company": F.lit("Acme")})
     i = spark.createDataFrame([("C", "I1", 100.0, "2024-01-05"), ("C", "I2", 80.0, "2024-01-05")], "custno string, invno string, invamt double, invdate string").withColumns({"invdate": F.to_date("invdate"), "currency": F.lit("USD"), "company": F.lit("Acme")})
