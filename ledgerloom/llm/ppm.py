@@ -209,8 +209,9 @@ def _merge(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.n
     return k[new], np.add.reduceat(n, new) if len(new) else n[:0]
 
 
-def _counts(order: int):
-    """Counts of grams (kind 0) and words (kind 1) of training texts, merged in each task as far as memory is bounded."""
+def _counts(order: int | None):
+    """Counts of grams (kind 0) and words (kind 1) of training texts, merged in each task as far as memory is bounded. Without
+    an order, of words only."""
 
     def run(it):
         parts: list[list] = [[], []]
@@ -224,8 +225,9 @@ def _counts(order: int):
 
         for batch in slices(it, SLICE):
             texts = batch.column("text").to_pylist()
-            symbols, coded, _ = streams(texts, order)
-            parts[0].append(np.unique(grams(symbols, order)[coded], return_counts=True))
+            if order is not None:
+                symbols, coded, _ = streams(texts, order)
+                parts[0].append(np.unique(grams(symbols, order)[coded], return_counts=True))
             parts[1].append(np.unique(word_hashes(*joined(texts))[0], return_counts=True))
             for kind in (0, 1):
                 if sum(len(k) for k, _ in parts[kind]) > 2 * HELD:
@@ -248,7 +250,8 @@ def _by_owner(keys: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def _scores(order: int, trie, words, name: str, constants: tuple[float, ...]):
-    """One row for each text (kind 0), and rows for its words (kind 1) and grams (kind 2) that aren't among the frequent ones."""
+    """One row for each text (kind 0), and rows for its words (kind 1) and grams (kind 2) that aren't among the frequent ones.
+    Without a trie, no grams are looked at and scores are 0."""
     end_score, end_known, denominator = constants
 
     def run(it):
@@ -257,18 +260,21 @@ def _scores(order: int, trie, words, name: str, constants: tuple[float, ...]):
         cached = held(KEEPS)
         if name not in cached:
             cached.clear()
-            cached[name] = (trie.value.ready(), Table(words.value[0]), words.value[1])
+            cached[name] = (trie and trie.value.ready(), Table(words.value[0]), words.value[1])
         scorer, frequent, counts = cached[name]
         row = TaskContext.get().partitionId() << 36
         for batch in slices(it, SLICE // 4):  # of which each byte may give a row
             texts = batch.column("text").to_pylist()
             m = len(texts)
-            symbols, coded, first = streams(texts, order)
-            lp = np.zeros(len(symbols))
-            g = grams(symbols, order)[coded]
-            lp[coded], listed = scorer.look(g)
-            score = np.add.reduceat(lp, first)
-            of = np.repeat(np.arange(m), np.diff(np.append(first, len(symbols))))[coded]
+            if trie is None:
+                score, g, of, listed = np.zeros(m), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, bool)
+            else:
+                symbols, coded, first = streams(texts, order)
+                lp = np.zeros(len(symbols))
+                g = grams(symbols, order)[coded]
+                lp[coded], listed = scorer.look(g)
+                score = np.add.reduceat(lp, first)
+                of = np.repeat(np.arange(m), np.diff(np.append(first, len(symbols))))[coded]
             h, doc, _, _ = word_hashes(*joined(texts))
             n_words = np.bincount(doc, minlength=m)
             at = frequent.find(h)
@@ -373,7 +379,7 @@ def _unseen(keys: DataFrame, levels: list[DataFrame]) -> DataFrame:
     return walk.select("key", "lp")
 
 
-def lm_scores(docs: DataFrame, order: int = ORDER, nodes: int | None = None, words: int = WORDS, folds: int = 5, held_out: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def lm_scores(docs: DataFrame, order: int = ORDER, nodes: int | None = None, words: int = WORDS, folds: int = 5, held_out: int = 1, id_col: str = "doc_id", text_col: str = "text", model: bool = True) -> DataFrame:
     """One row for each row of docs: id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10).
 
     Training texts are those whose crc32(id as text) mod folds isn't held_out; a null id counts as empty text there.
@@ -385,26 +391,28 @@ def lm_scores(docs: DataFrame, order: int = ORDER, nodes: int | None = None, wor
     place from broadcasts, which bounds these at any size; the others are scored by joins on grams and on 64-bit hashes of
     words. No key of these is frequent, so none is hot. Grams that don't occur in training take their escapes by joins, once
     for each distinct gram. With `nodes`, a smaller model is made instead: a trie of what occurs at least once in 2 ** nodes
-    symbols, where what is dropped goes to the escape.
+    symbols, where what is dropped goes to the escape. Without `model`, words alone are counted and there is no score.
 
     Null text is empty: one token, the end. Rows that repeat an id are texts of their own. Without training texts,
     train_tokens is 0 and scores are those of the empty model. No rows in, no rows out; other columns are ignored.
     """
     out_of = F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % folds == held_out
     base = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), out_of.alias("held_out"))
-    counts = base.where("NOT held_out").select("text").transform(mapped, _counts(order), "kind int, key long, n long")
+    counts = base.where("NOT held_out").select("text").transform(mapped, _counts(order if model else None), "kind int, key long, n long")
     counts = durable(counts.groupBy("kind", "key").agg(F.sum("n").alias("n")), "ppm-counts")
     spark = docs.sparkSession
-    if nodes is None:
+    if not model:
+        trie, ends = None, 0
+    elif nodes is None:
         levels = _levels(counts, order)
         seen = _seen(levels[order])
-        model = _listed(seen)
+        trie = _listed(seen)
         ends = (levels[0].where(F.col("key") == END).agg(F.sum("n")).first()[0]) or 0
     else:
-        model = train(counts, order, nodes)
-        ends = int(model.children[0][1][model.children[0][0] == END].sum())
+        trie = train(counts, order, nodes)
+        ends = int(trie.children[0][1][trie.children[0][0] == END].sum())
     sums = counts.where("kind = 1").agg(F.count("*"), F.sum("n")).first()
-    if not ends:  # an end is rarer than the threshold, in very long texts
+    if not ends:  # no model, or an end is rarer than the threshold, in very long texts
         ends = base.where("NOT held_out").count()
     total, distinct = (sums[1] or 0) + ends, sums[0] + (ends > 0)
     denominator = total + 0.5 * (distinct + 1)
@@ -412,10 +420,11 @@ def lm_scores(docs: DataFrame, order: int = ORDER, nodes: int | None = None, wor
     frequent = counts.where((F.col("kind") == 1) & (F.col("n") >= least)).select("key", "n").toPandas()
     keys = frequent["key"].to_numpy(np.int64).view(np.uint64)
     sc = spark.sparkContext
-    shared, listed = sc.broadcast(model), sc.broadcast((keys, frequent["n"].to_numpy(np.float64)))
+    listed = sc.broadcast((keys, frequent["n"].to_numpy(np.float64)))
+    shared = sc.broadcast(trie) if model else None
     constants = (float(np.log10((ends + 0.5) / denominator)), float(ends > 0), float(denominator))
     kind = docs.schema[id_col].dataType.simpleString()
-    name = f"{sc.applicationId}-{shared._jbroadcast.id() if hasattr(shared, '_jbroadcast') else id(shared)}"
+    name = f"{sc.applicationId}-{listed._jbroadcast.id() if hasattr(listed, '_jbroadcast') else id(listed)}"
     found = base.transform(mapped, _scores(order, shared, listed, name, constants), f"kind int, row long, key long, n long, id {kind}, held_out boolean, known long, base double, score double", KEEPS)
     found = durable(found, "ppm-scores")
     rare = counts.where((F.col("kind") == 1) & (F.col("n") < least)).select("key", F.col("n").alias("c"))
@@ -423,12 +432,12 @@ def lm_scores(docs: DataFrame, order: int = ORDER, nodes: int | None = None, wor
     c = F.coalesce("c", F.lit(0))
     more = missing.groupBy("row").agg(F.sum(F.when(c > 0, F.col("n")).otherwise(0)).alias("known2"), F.sum(F.col("n") * F.log10((c + 0.5) / denominator)).alias("base2"))
     out = found.where("kind = 0").select("row", "id", "held_out", "n", "known", "base", "score").join(more, "row", "left")
-    if nodes is None:
+    if model and nodes is None:
         asked = found.where("kind = 2").select("row", "key", "n")
         unseen = durable(asked.select("key").distinct().join(seen, "key", "left_anti"), "ppm-unseen")
         lp = seen.select("key", "lp").unionByName(durable(_unseen(unseen, levels), "ppm-escapes"))
         out = out.join(asked.join(lp, "key").groupBy("row").agg(F.sum(F.col("n") * F.col("lp")).alias("score2")), "row", "left").withColumn("score", F.col("score") + F.coalesce("score2", F.lit(0.0)))
     return out.select(
         F.col("id").alias(id_col), "held_out", F.col("n").alias("n_tokens"), (F.col("known") + F.coalesce("known2", F.lit(0))).alias("n_known"), F.lit(int(total)).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("base2", F.lit(0.0))).alias("base_score"), "score",
+        (F.col("base") + F.coalesce("base2", F.lit(0.0))).alias("base_score"), *(["score"] if model else []),
     )

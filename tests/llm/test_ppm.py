@@ -121,3 +121,19 @@ def test_whole_model(spark, monkeypatch, listed):
     assert len(got) == len(want)
     for a, b in zip(got, want):
         assert a[:3] == b[:3] and a[3] == pytest.approx(b[3], rel=1e-9), (a, b)
+
+
+def test_base_scores_alone_make_no_model(spark, monkeypatch):
+    rows = [(k, " ".join(f"W{(k * j) % 7}" for j in range(k % 6))) for k in range(40)] + [(None, None), (41, ""), (3, "w1 again")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for words in (20, 2):
+        for frame in (docs, docs.limit(0), docs.where("crc32(cast(doc_id AS string)) % 5 = 1")):
+            want = lm_scores(frame, words=words).drop("score")
+            with monkeypatch.context() as m:
+                for step in ("streams", "grams", "_levels", "_seen", "_listed"):
+                    m.setattr(f"ledgerloom.llm.ppm.{step}", None)
+                got = lm_scores(frame, words=words, model=False)
+                assert got.columns == want.columns
+                got = got.toPandas()
+            key = ["doc_id", "n_tokens", "base_score"]
+            assert got.sort_values(key).round(9).reset_index(drop=True).equals(want.toPandas().sort_values(key).round(9).reset_index(drop=True))
