@@ -61,6 +61,17 @@ def test_best_judged(spark):
     assert sorted((r.query_id, r.index_id or 0, r.confidence) for r in got) == [(1, 5, 0.95), (2, 0, 0.0), (3, 0, 0.0)]
 
 
+def test_stages_read_their_inputs_once(spark, tmp_path):
+    r = spark.createDataFrame([("R1", "C", 30.0, day(20)), ("R2", "C", 20.0, day(20)), ("R3", "C", 5.0, day(20))], "receipt_id string, payercust_custno string, amount double, receipt_date date")
+    i = spark.createDataFrame([("C", "1", day(3), 10.0), ("C", "2", day(5), 20.0)], "custno string, invno string, invdate date, invamt double")
+    i = i.withColumns({"created_on": F.col("invdate"), "modified_on": F.col("invdate"), "app_date": F.lit(day(1)), "duedate": F.lit(day(1)), **{c: F.col("invamt") for c in ("amount", "balance", "app_amount")}})
+    for name, frame in (("r", r), ("i", i)):
+        frame.write.parquet(str(tmp_path / name))
+    out = reconcile.receipts_to_invoices_staged(spark.read.parquet(str(tmp_path / "r")), spark.read.parquet(str(tmp_path / "i")))
+    assert "FileScan" not in out._jdf.queryExecution().toString()
+    assert sorted((x.receipt_id, x.stage, x.match_basis, x.line_count) for x in out.collect()) == [("R1", 1, "sum_amount", 2), ("R2", 2, "greedy_amount", 1)]
+
+
 def test_vector_flow(spark):
     r = spark.createDataFrame([("R1", 100.0, day(5), "USD", "Acme Inc"), ("R2", 100.0, day(5), None, "Acme"), ("R3", 7.0, day(5), "EUR", None)], "receipt_id string, amount double, receipt_date date, currency string, payercust_company string")
     i = spark.createDataFrame([("7", 100.0, day(3), "USD", "Acme"), ("8", 104.0, day(40), "USD", "Acme Ltd"), ("9", 100.0, day(400), "USD", "Acme")], "invno string, invamt double, invdate date, currency string, company string")
