@@ -82,6 +82,20 @@ def test_vector_flow(spark):
     assert real.groupby("invoice_key").allocated_cents.sum().le(10400).all() and set(got[got.receipt_id == "R3"].grouping_type) == {"unmatched"}
 
 
+def test_vector_flow_pairs_copies_once(spark, monkeypatch):
+    """Equal receipts and invoices meet once a class, and each receipt still has its invoices, the smallest keys of equal ones."""
+    seen, edges, join, allocate = [], [], blocking.wide_block_join, reconcile.flow.allocate
+    monkeypatch.setattr(blocking, "wide_block_join", lambda a, b, *x: seen.append((a.count(), b.count())) or join(a, b, *x))
+    monkeypatch.setattr(reconcile.flow, "allocate", lambda e: edges.extend(e.collect()) or allocate(e))
+    r = spark.createDataFrame([(f"R{k:02}", 100.0, day(5), None, "Acme") for k in range(12)], "receipt_id string, amount double, receipt_date date, currency string, payercust_company string")
+    i = spark.createDataFrame([(f"I{k:02}", 100.0 + k % 2, day(3), "USD", "Acme") for k in range(40)], "invno string, invamt double, invdate date, currency string, company string")
+    got = reconcile.receipts_to_invoices_by_vectors(r, i, judge.trigram_embedder).toPandas()
+    assert seen == [(1, 2)]
+    assert {(x.receipt_id, x.invoice_key) for x in edges} == {(f"R{k:02}", f"I{j:02}") for k in range(12) for j in range(0, 16, 2)}
+    real = got[got.invoice_key != "__unmatched__"]
+    assert real.allocated_cents.sum() == 8 * 10000 and got.groupby("receipt_id").allocated_cents.sum().eq(10000).all()
+
+
 def test_judged_sets(spark):
     rows = [("R1", 1, "amount", 1000, 0, "a", "k1"), ("R1", 1, "amount", 1000, 0, "b", "k2"), ("R1", 2, "amount", 500, 400, "a", "k1"), ("R1", 1, "shadow_open", 0, 0, "c", "k1"), ("R2", 9, "amount", 5, 0, "z", "k")]
     got = reconcile.judged_sets(spark.createDataFrame(rows, "receipt_id string, set_rank int, matched_field string, matched_cents long, diff_cents long, inv_row_id string, inv_key string"), judge.closeness_judge).collect()
